@@ -261,3 +261,53 @@ def filesystem(path: str):
     if local != path or path.startswith("/"):
         return fs.LocalFileSystem(), os.path.normpath(local)
     return fs.FileSystem.from_uri(path)
+
+
+# ---------------------------------------------------------------- a bounded filter for second scans
+
+#: Bits of a filter at least and at most: 8 KB and 16 MB, whatever the input's size.
+FILTER_BITS = (1 << 16, 1 << 27)
+_CHUNK_BITS = 1 << 16
+
+
+class Filter:
+    """Says of a 64-bit hash whether it may be in a set: no false no; a false yes costs a later join a row."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.size = bits, np.uint64(8 * len(bits))
+
+    @staticmethod
+    def places(h: np.ndarray, size: np.uint64) -> list[np.ndarray]:
+        return [(mix(h ^ np.uint64(seed)) % size).astype(np.int64) for seed in (0x51ED270B, 0xB492B66F)]
+
+    def may_hold(self, h: np.ndarray) -> np.ndarray:
+        out = np.ones(len(h), bool)
+        for p in self.places(h, self.size):
+            out &= (self.bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+        return out
+
+
+def build_filter(ids: DataFrame, name: str, count: int) -> Filter:
+    """A Filter of a column of hashes; partial filters are united on the executors, chunk by chunk."""
+    size = min(max(1 << int(np.ceil(np.log2(12 * max(count, 1)))), FILTER_BITS[0]), FILTER_BITS[1])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(size // 8, np.uint8)
+        for batch in batches:
+            h = batch.column(0).to_numpy().view(np.uint64)
+            for p in Filter.places(h, np.uint64(size)):
+                np.bitwise_or.at(bits, p >> 3, np.uint8(1) << (p & 7).astype(np.uint8))
+        rows = bits.reshape(-1, _CHUNK_BITS // 8)
+        used = np.flatnonzero(rows.any(1))
+        yield block_batch([(int(i), rows[i].tobytes()) for i in used])
+
+    def unite(table: pa.Table) -> pa.Table:
+        chunks = [np.frombuffer(x, np.uint8) for x in table.column("payload").to_pylist()]
+        whole = np.bitwise_or.reduce(chunks)
+        return pa.table({"part": table.column("part").slice(0, 1), "payload": pa.array([whole.tobytes()], pa.binary())})
+
+    bits = np.zeros(size // 8, np.uint8)
+    found = block_reduce(ids.select(F.col(name).cast("long")).mapInArrow(run, BLOCK), unite, BLOCK)
+    for row in found.toLocalIterator():
+        bits[row.part * (_CHUNK_BITS // 8) : (row.part + 1) * (_CHUNK_BITS // 8)] = np.frombuffer(row.payload, np.uint8)
+    return Filter(bits)
