@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexframe.llm import counting, jaccard, kit, mixing, packing, quality, shards
+from plexframe.llm import counting, jaccard, kit, mixing, packing, quality, shards, suffix_tree
 
 
 def _vocabulary(name: str) -> str:
@@ -20,6 +20,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_groups(kit.documents(spark, sf_dir))
 
 
+def op2_suffix_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(kit.documents(spark, sf_dir))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = kit.documents(spark, sf_dir).select("doc_id", "source", mixing.sized().alias("size"))
     return mixing.mix(docs, "doc_id", "source", "size").select("doc_id", "size", "source_size", "target", "taken")
@@ -43,6 +47,6 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(kit.documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end=1)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ngram_jaccard_join, op3_source_mix, op6_token_counts, op7_quality_rules, op8_token_shards, op9_best_fit_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_tree_score, op3_source_mix, op6_token_counts, op7_quality_rules, op8_token_shards, op9_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
