@@ -14,8 +14,8 @@ The class of a token changes the work, never the result. Frequent tokens are tho
 over all documents finds in `FREQUENT` different sets or more, the `CLASS_SIZE` most frequent of them.
 
 Equal sets are one node, however many documents have them. Sets that share a key are candidates: all pairs
-for up to `ALL_PAIRS` sets, and for more, each with the first; whatever those leave apart is joined in a second
-round, pair by pair, between sets not yet in one component. Candidates are verified on whole sets, which
+for a few sets, and for more, each with the first; whatever those leave apart is joined in a second
+round, pair by pair, between sets not yet in one component (see candidates.py). Candidates are verified on whole sets, which
 a second scan fetches through a filter of bounded size.
 
 Defined results: a null or empty text, or one without words, has no tokens and is linked with nothing; a
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
-from plexframe.llm.components import components
+from plexframe.llm.candidates import groups, pair_up
 
 WORDS = 5
 #: Similarity as a whole percentage.
@@ -43,7 +43,6 @@ FREQUENT = 8
 CLASS_SIZE = 1 << 17
 #: Tokens of one task that its lossy count holds before it forgets those seen once.
 LOSSY = 4_000_000
-ALL_PAIRS = 16
 
 
 # ---------------------------------------------------------------- sets
@@ -226,41 +225,7 @@ def fetch(docs: DataFrame, key: str, text: str, words: int, wanted) -> DataFrame
     return _rows(docs, key, text).mapInArrow(run, "id long, tokens binary")
 
 
-# ---------------------------------------------------------------- candidates
-
-
-def pair_up(table: pa.Table, percent: int, most: int = ALL_PAIRS) -> pa.Table:
-    """Candidate pairs of one part of the index; kind 1: entries (key, set, n) of keys with more than `most` sets."""
-    x = np.unique(kit.unblock(table, ["u8", "u8", "u4"]))
-    key, sid, n = x["f0"], x["f1"], x["f2"].astype(np.int64)
-    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    size = np.diff(np.append(cut, len(key)))
-    a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
-
-    def add(i: np.ndarray, j: np.ndarray) -> None:
-        fine = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-        a.append(sid[i[fine]]), b.append(sid[j[fine]])
-
-    for k in range(2, most + 1):
-        at = cut[size == k]
-        for i in range(k - 1):
-            for j in range(i + 1, k):
-                if len(at):
-                    add(at + i, at + j)
-    hot = [np.zeros(0, np.int64)]
-    for at, k in zip(cut[size > most], size[size > most], strict=True):
-        rest = np.arange(at, at + k)
-        hot.append(rest)
-        add(np.full(k - 1, at), rest[1:])
-    pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if sum(map(len, a)) else np.zeros((0, 2), np.uint64)
-    h = np.concatenate(hot)
-    none = np.zeros(len(pairs), np.int64)
-    return pa.table({
-        "kind": pa.array(np.concatenate([none, np.ones(len(h), np.int64)])),
-        "a": pa.array(np.concatenate([pairs[:, 0], key[h]]).view(np.int64)),
-        "b": pa.array(np.concatenate([pairs[:, 1], sid[h]]).view(np.int64)),
-        "n": pa.array(np.concatenate([none, n[h]])),
-    })
+# ---------------------------------------------------------------- verification
 
 
 def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
@@ -305,28 +270,8 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 
     found = kit.block_reduce(index(docs, key, text, words, percent, frequent, parts), lambda t: pair_up(t, percent), "kind long, a long, b long, n long")
     found, found_path = kit.keep(found, "candidates")
-    pairs, pairs_path = kit.keep(found.where("kind = 0").select("a", "b").distinct(), "pairs")
-    links = verify(pairs, docs, key, text, words, percent)
-    labels = components(links)
-
-    hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
-    if not hot.isEmpty():
-        label = labels.withColumnRenamed("id", "l")
-        named = hot.join(label, F.col("id") == F.col("l"), "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-        named, named_path = kit.keep(named, "named")
-        apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        open_ = named.join(apart, "key")
-        p, q = open_.select("key", *(F.col(c).alias(f"{c}_a") for c in ("id", "n", "root"))), open_.select("key", *(F.col(c).alias(f"{c}_b") for c in ("id", "n", "root")))
-        close = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
-        more = p.join(q, "key").where(close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-        done = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more, more_path = kit.keep(more.join(done, ["a", "b"], "left_anti"), "more")
-        if not more.isEmpty():
-            labels = components(links.union(verify(more, docs, key, text, words, percent)))
-        for path in (named_path, more_path):
-            kit.remove(spark, path)
-    for path in (found_path, pairs_path):
-        kit.remove(spark, path)
+    labels = groups(found, lambda pairs: verify(pairs, docs, key, text, words, percent), percent)
+    kit.remove(spark, found_path)
 
     rows = seen.where("set is not null").select("id", "n", "set")
     label = labels.select(F.col("id").alias("l"), "root")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexframe.llm import counting, jaccard, kit, mixing, packing, quality, shards, suffix_tree
+from plexframe.llm import counting, jaccard, kit, lines, mixing, packing, quality, shards, suffix_tree
 
 
 def _vocabulary(name: str) -> str:
@@ -47,6 +47,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(kit.documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"), end=1)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_tree_score, op3_source_mix, op6_token_counts, op7_quality_rules, op8_token_shards, op9_best_fit_packing)}
+def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    x = lines.cleaned(kit.documents(spark, sf_dir))
+    return x.select("_row.doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_gone").cast("long").alias("n_removed"), F.char_length("_text").cast("long").alias("kept_chars"), F.crc32("_text").alias("kept_crc32"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_tree_score, op3_source_mix, op6_token_counts, op7_quality_rules, op8_token_shards, op9_best_fit_packing, op10_fuzzy_line_dedup)}
 
 ORACLE_SQL: dict[str, str] = {}
