@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plexframe.llm import counting, jaccard, kit, lines, mixing, packing, quality, shards, suffix_tree
+from plexframe.llm import counting, jaccard, kit, lines, mixing, packing, pages, quality, search, shards, suffix_tree
 
 
 def _vocabulary(name: str) -> str:
@@ -29,6 +29,14 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, "doc_id", "source", "size").select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 5, 50, "vec_id", "embedding")
+
+
+def op5_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract_pages(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = counting.token_counts(kit.documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"))
     return found.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"), "n_chunks")
@@ -52,6 +60,12 @@ def op10_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("_row.doc_id", F.col("_lines").cast("long").alias("n_lines"), F.col("_gone").cast("long").alias("n_removed"), F.char_length("_text").cast("long").alias("kept_chars"), F.crc32("_text").alias("kept_crc32"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_tree_score, op3_source_mix, op6_token_counts, op7_quality_rules, op8_token_shards, op9_best_fit_packing, op10_fuzzy_line_dedup)}
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_ngram_jaccard_join, op2_suffix_tree_score, op3_source_mix, op4_impact_search, op5_page_differencing, op6_token_counts, op7_quality_rules, op8_token_shards, op9_best_fit_packing, op10_fuzzy_line_dedup, pipeline)}
 
 ORACLE_SQL: dict[str, str] = {}
