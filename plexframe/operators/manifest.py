@@ -1,0 +1,78 @@
+"""Manifests: reading, projection, filters, merging, integrity, profiles."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from plexframe.functions.labels import file_name
+
+#: Named profiles; parameters in the order of PARAMETERS.
+PARAMETERS = ("threshold_percentile", "min_signal", "close_radius", "open_radius", "dilate_radius", "min_component_area_fraction")
+PROFILES = {
+    "fluorescence-recall": (35.0, 5.0, 12, 0, 3, 0.0002),
+    "fluorescence-artifact-strict": (70.0, 12.0, 8, 3, 1, 0.002),
+    "fluorescence-grid-artifact": (65.0, 12.0, 6, 2, 2, 0.0015),
+    "fluorescence-sparse-tissue": (20.0, 4.0, 10, 0, 5, 0.00005),
+}
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a JSON-lines manifest; blank lines, lines that begin with # and rows with an error are left out."""
+    lines = spark.read.text(path).where((F.trim("value") != "") & ~F.trim("value").startswith("#"))
+    row = F.from_json("value", "path string, dataset string, reader_type string, output_stem string, mpp double, channel_names array<string>, error string", {"mode": "FAILFAST"})
+    return lines.select(F.monotonically_increasing_id().alias("ord"), row.alias("r"), F.from_json("value", "map<string,string>").alias("m")).select("ord", "r.*", "m").where("error is null").select("ord", "path", F.coalesce("dataset", F.lit("")).alias("dataset"), F.coalesce("reader_type", F.lit("tiff")).alias("reader_type"), "output_stem", "mpp", F.coalesce("channel_names", F.array().cast("array<string>")).alias("channel_names"), F.map_filter("m", lambda k, _: ~k.isin("path", "dataset", "reader_type", "output_stem", "mpp", "channel_names", "error")).alias("extras"))
+
+
+def write_manifest(rows: DataFrame, path: str) -> None:
+    """One JSON object a line, keys sorted."""
+    rows.select(F.to_json(F.struct(*sorted(c for c in rows.columns if c != "ord"))).alias("value")).write.text(path)
+
+
+def name_filters(rows: DataFrame, path: str, include: str | None = None, exclude: str | None = None, skip_roi: bool = False) -> DataFrame:
+    name = file_name(F.col(path))
+    if include:
+        rows = rows.where(name.rlike(include))
+    if exclude:
+        rows = rows.where(~name.rlike(exclude))
+    return rows.where(~name.rlike(r"(?i)(^|[_-])ROI\d+")) if skip_roi else rows
+
+
+def merge_manifest(base: DataFrame, updates: DataFrame, key: str, ord_: str) -> DataFrame:
+    """Base rows in their order, each replaced by the last update of its key; other updates follow in first-seen order."""
+    values = [c for c in base.columns if c not in (key, ord_)]
+    last = updates.groupBy(key).agg(F.max_by(F.struct(*values), ord_).alias("u"), F.min(ord_).alias("u_ord"))
+    both = base.join(last, key, "full_outer").withColumn("new", F.col(ord_).isNull())
+    return both.select(key, F.coalesce(ord_, "u_ord").alias(ord_), "new", *(F.when(F.col("u").isNotNull(), F.col(f"u.{c}")).otherwise(F.col(c)).alias(c) for c in values))
+
+
+def apply_profile(explicit: DataFrame, profiles: DataFrame, on: str = "profile") -> DataFrame:
+    """Explicit parameters win, the profile fills the rest; profiles is a table of a few rows."""
+    joined = explicit.alias("e").join(F.broadcast(profiles).alias("p"), on, "left")
+    names = [c for c in profiles.columns if c != on]
+    return joined.select(*(F.col(f"e.{c}") if c not in names else F.coalesce(F.col(f"e.{c}"), F.col(f"p.{c}")).alias(c) for c in explicit.columns))
+
+
+def page_groups(pages: DataFrame, channels: Column) -> DataFrame:
+    """(image, height, width, pages) of page shapes that have just one page for each channel."""
+    return pages.groupBy("image", "height", "width").agg(F.count(F.lit(1)).alias("pages"), channels.alias("channels")).where("pages = channels").drop("channels")
+
+
+def choose_level(levels: DataFrame, target: int) -> DataFrame:
+    """Of each image, the largest level whose long edge fits the target, else the smallest."""
+    edge = F.greatest("height", "width")
+    fits = edge <= target
+    order = Window.partitionBy("image").orderBy(fits.desc(), F.when(fits, -edge).otherwise(edge), "height", "width")
+    return levels.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
+
+
+def integrity(issues: DataFrame, images: DataFrame) -> DataFrame:
+    """total, passed, failed of images (image), where issues(image) lists each fault."""
+    bad = issues.select("image").distinct().withColumn("bad", F.lit(1))
+    return images.join(bad, "image", "left").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("bad").isNull()).alias("passed"), F.count_if(F.col("bad").isNotNull()).alias("failed"))
+
+
+def magnification(mpp: Column) -> tuple[Column, Column]:
+    """(mag, mpp at that mag): 10 / mpp rounded half to even."""
+    mag = F.bround(F.lit(10.0) / mpp).cast("int")
+    return mag, F.lit(10.0) / mag

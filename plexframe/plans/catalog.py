@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from plexframe.plans.oracle import ORACLE_SQL
+from plexframe.plans.proxies import QUERIES
+
 FLAGSHIP = "flagship_patch_coords"
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+
+__all__ = ["FLAGSHIP", "ORACLE_SQL", "QUERIES"]
