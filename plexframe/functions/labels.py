@@ -59,21 +59,34 @@ def normalize_labels(df: DataFrame, raw: str, out: str) -> DataFrame:
     text = F.coalesce(F.col(raw).cast("string"), F.lit(""))
     for a, b in SPELLED.items():
         text = F.replace(text, F.lit(a), F.lit(b))
-    df = df.withColumn("_t", F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " ")).withColumn("_r", F.lit(None).cast("string"))
+    clean = F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+|\s+$", ""), r"(?U)\s+", " ")
+    # each step reads its text through a lambda variable, so the expression grows by a step, not by a factor
+    state = F.array(F.struct(clean.alias("t"), F.lit(None).cast("string").alias("r")))
     for kind, pattern, value in STEPS:
-        wide = pattern.replace("(?i)", "(?iU)") if pattern.startswith("(?i)") else f"(?U){pattern}"
-        if kind == "end":
-            df = df.withColumn("_r", F.when(F.col("_r").isNull() & F.col("_t").rlike(wide), value).otherwise(F.col("_r")))
-        elif kind == "sub":
-            df = df.withColumn("_t", F.regexp_replace("_t", wide, value))
-        elif kind == "last":
-            df = df.withColumn("_t", F.trim(F.element_at(F.split("_t", pattern, -1), -1)))
-        else:
-            head = F.trim(F.split_part("_t", F.lit(pattern), F.lit(1)))
-            df = df.withColumn("_t", F.when(F.contains("_t", F.lit(pattern)) & head.rlike("[A-Za-z0-9]"), head).otherwise(F.col("_t")))
+        state = F.transform(state, _then(kind, pattern, value))
     known = F.create_map(*(F.lit(x) for pair in ALIASES.items() for x in pair))
-    df = df.withColumn("_k", F.regexp_replace(F.lower("_t"), "[^a-z0-9]+", ""))
-    return df.withColumn(out, F.coalesce("_r", F.get(F.array(known[F.col("_k")]), F.lit(0)), "_t")).drop("_t", "_r", "_k")
+    last = F.transform(state, lambda s: F.coalesce(s["r"], F.try_element_at(known, key_of(s["t"])), s["t"]))
+    return df.withColumn(out, F.get(last, F.lit(0)))
+
+
+def _then(kind: str, pattern: str, value: str):
+    return lambda s: _step(s, kind, pattern, value)
+
+
+def _step(s: Column, kind: str, pattern: str, value: str) -> Column:
+    """One of STEPS on the struct (t: text so far, r: final value or null)."""
+    t, r = s["t"], s["r"]
+    wide = pattern.replace("(?i)", "(?iU)") if pattern.startswith("(?i)") else f"(?U){pattern}"
+    if kind == "end":
+        r = F.when(r.isNull() & t.rlike(wide), value).otherwise(r)
+    elif kind == "sub":
+        t = F.regexp_replace(t, wide, value)
+    elif kind == "last":
+        t = F.trim(F.element_at(F.split(t, pattern, -1), -1))
+    else:
+        head = F.trim(F.split_part(t, F.lit(pattern), F.lit(1)))
+        t = F.when(F.contains(t, F.lit(pattern)) & head.rlike("[A-Za-z0-9]"), head).otherwise(t)
+    return F.struct(t.alias("t"), r.alias("r"))
 
 
 def key_of(label: Column) -> Column:
