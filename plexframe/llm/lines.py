@@ -32,6 +32,8 @@ MIN_WORDS = 4
 #: Edit similarity as a whole percentage: 1 - distance / length of the longer.
 PERCENT = 85
 BLOCKS, BLOCK_BITS = 4, 32
+#: Buckets that trigrams are counted in, and pairs counted at a time.
+_TRIGRAM_BITS, _PAIRS = 11, 64
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 256)
@@ -127,6 +129,27 @@ def distance_within(a: str, b: str, most: int) -> bool:
     return score <= most
 
 
+def may_be_similar(a: list[str], b: list[str], percent: int = PERCENT) -> np.ndarray:
+    """Whether a pair's texts share the trigrams that two texts within the edit distance must share.
+
+    An edit changes three trigrams at most, so two texts at distance d share all but 3 * d of the longer's. Trigrams
+    are counted by buckets of a hash, which can only raise what is shared: no pair is lost."""
+    out = np.zeros(len(a), bool)
+    for i in range(0, len(a), _PAIRS):
+        n = [np.array([len(x) for x in side[i : i + _PAIRS]], np.int64) for side in (a, b)]
+        counts = []
+        for side, size in zip((a, b), n, strict=True):
+            c = np.frombuffer("".join(side[i : i + _PAIRS]).encode("utf-32-le", "surrogatepass"), np.uint32)
+            of = np.repeat(np.arange(len(size)), size)
+            h = (c[:-2] * np.uint32(0x9E3779B1) + c[1:-1] * np.uint32(0x85EBCA77) + c[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - _TRIGRAM_BITS)
+            key = (of[:-2] << _TRIGRAM_BITS) + h.astype(np.int64)
+            counts.append(np.bincount(key[of[:-2] == of[2:]], minlength=len(size) << _TRIGRAM_BITS))
+        shared = np.minimum(*counts).reshape(-1, 1 << _TRIGRAM_BITS).sum(1)
+        longer = np.maximum(*n)
+        out[i : i + _PAIRS] = shared >= longer - 2 - 3 * (longer * (100 - percent) // 100)
+    return out
+
+
 def similar(a: str, b: str, percent: int = PERCENT) -> bool:
     longer = max(len(a), len(b))
     return distance_within(a, b, longer * (100 - percent) // 100)
@@ -232,7 +255,8 @@ def verify(pairs: DataFrame, rows: DataFrame, min_words: int, percent: int) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = [similar(x, y, percent) for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            good = [bool(may) and similar(p, q, percent) for may, p, q in zip(may_be_similar(x, y, percent), x, y, strict=True)]
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     left, right = (found.select(F.col("id").alias(f"id_{x}"), F.col("line").alias(f"t_{x}")) for x in "ab")
