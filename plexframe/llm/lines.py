@@ -34,6 +34,7 @@ PERCENT = 85
 BLOCKS, BLOCK_BITS = 4, 32
 #: Buckets that trigrams are counted in, and pairs counted at a time.
 _TRIGRAM_BITS, _PAIRS = 11, 64
+_EACH_BYTE = np.uint64(0x0101010101010101)
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 256)
@@ -84,15 +85,47 @@ class Lines:
             size = self.words[which]
             cut = np.cumsum(size) - size
             pick = np.arange(size.sum()) - np.repeat(cut, size) + np.repeat(self.at[which], size)
-            bits = np.unpackbits(kit.mix(self.word[pick] ^ np.uint64(seed)).view(np.uint8).reshape(-1, 8), axis=1)
-            ones = np.add.reduceat(bits, cut, axis=0, dtype=np.uint32) if len(which) else np.zeros((0, 64), np.uint32)
-            out.append(np.ascontiguousarray(np.packbits(2 * ones > size[:, None], axis=1)).view(np.uint64).ravel())
+            h = kit.mix(self.word[pick] ^ np.uint64(seed))
+            most = np.zeros((len(which), 8), np.uint8)
+            for k in range(8 if len(which) else 0):
+                # bit k of each byte: eight counters in one number, which lines of up to 255 words can't overflow
+                ones = np.add.reduceat(h >> np.uint64(k) & _EACH_BYTE, cut).view(np.uint8).reshape(-1, 8)
+                most |= (2 * ones.astype(np.int64) > size[:, None]).astype(np.uint8) << np.uint8(k)
+            for i in np.flatnonzero(size > 255).tolist():
+                ones = np.unpackbits(h[cut[i] : cut[i] + size[i]].view(np.uint8).reshape(-1, 8), axis=1).sum(0)
+                most[i] = np.packbits(2 * ones > size[i])
+            out.append(most.view(np.uint64).ravel())
         return out[0], out[1]
 
     def text(self, i: int) -> str:
         return normalised(self.raw[self.start[i] : self.end[i]].tobytes())
 
 
+def aligned_within(a: str, b: str, most: int, sure: int = 8) -> bool:
+    """Whether a simple alignment needs `most` edits or fewer; if not, a better one may.
+
+    After a difference it goes on where the next `sure` characters of a stand next in b."""
+    i = j = cost = 0
+    while cost <= most:
+        step = 64
+        while step:
+            if a[i : i + step] == b[j : j + step] and i + step <= len(a):
+                i, j = i + step, j + step
+            else:
+                step >>= 1
+        if len(a) - i < sure or j == len(b):
+            return cost + max(len(a) - i, len(b) - j) <= most
+        left = most - cost
+        for skip in range(min(left, len(a) - i - sure) + 1):
+            at = b.find(a[i + skip : i + skip + sure], j, j + left + sure)
+            if at >= 0:
+                cost, i, j = cost + max(skip, at - j), i + skip, at
+                break
+        else:
+            return False
+    return False
+
+
 def distance_within(a: str, b: str, most: int) -> bool:
     """Whether the edit distance is `most` or less, by a bit-parallel column for each character."""
     n = min(len(a), len(b))
@@ -152,7 +185,8 @@ def may_be_similar(a: list[str], b: list[str], percent: int = PERCENT) -> np.nda
 
 def similar(a: str, b: str, percent: int = PERCENT) -> bool:
     longer = max(len(a), len(b))
-    return distance_within(a, b, longer * (100 - percent) // 100)
+    most = longer * (100 - percent) // 100
+    return aligned_within(a, b, most) or distance_within(a, b, most)
 
 
 def _order(x: np.ndarray) -> np.ndarray:
