@@ -3,7 +3,8 @@
 Items that share a key are candidates. Up to `ALL_PAIRS` items under a key are paired with each other.
 More are each paired with the first of them, which joins large groups of copies without writing their
 pairs; then, under keys whose items are still in several components, all pairs between different
-components are verified too. So no link between two items is lost, and components are exact.
+components are verified too; before that, the items of such keys may be indexed anew with keys that fewer
+share. So no link between two items is lost, and components are exact.
 """
 
 from __future__ import annotations
@@ -58,26 +59,54 @@ def pair_up(table: pa.Table, percent: int, most: int = ALL_PAIRS) -> pa.Table:
     })
 
 
-def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """(id, root) of all items that pair_up()'s rows and verify(pairs (a, b)) link to another."""
+def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int, again: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """(id, root) of all items that pair_up()'s rows and verify(pairs (a, b)) link to another.
+
+    again, if given, gets the items (id) of keys that many items of several components share, and returns
+    pair_up()'s rows of an index of just those with keys that fewer share; pairs of a key come only after it."""
     spark = found.sparkSession
-    pairs, pairs_path = kit.keep(found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = verify(pairs)
-    labels = components(links)
-    hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
-    if not hot.isEmpty():
-        label = labels.withColumnRenamed("id", "l")
-        named = hot.join(label, F.col("id") == F.col("l"), "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-        named, named_path = kit.keep(named, "named")
-        apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        still = named.join(apart, "key")
+    links = labels = done = None
+    paths = []
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        out, path = kit.keep(df, name)
+        paths.append(path)
+        return out
+
+    def named(df: DataFrame, *columns: str) -> DataFrame:
+        """df with the root of each of these columns of items."""
+        for c in columns:
+            label = labels.select(F.col("id").alias(f"l_{c}"), F.col("root").alias(f"found_{c}"))
+            df = df.join(label, F.col(c) == F.col(f"l_{c}"), "left").withColumn(f"root_{c}", F.coalesce(f"found_{c}", c)).drop(f"l_{c}", f"found_{c}")
+        return df
+
+    while True:
+        pairs = found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        if labels is not None:
+            pairs = named(pairs.join(done, ["a", "b"], "left_anti"), "a", "b").where("root_a <> root_b").select("a", "b")
+        pairs = kept(pairs, "pairs")
+        links = verify(pairs) if links is None else links.union(verify(pairs))
+        done = pairs if done is None else done.union(pairs)
+        labels = components(links)
+        hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
+        if hot.isEmpty():
+            break
+        hot = kept(named(hot, "id").withColumnRenamed("root_id", "root"), "named")
+        apart = hot.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
+        still = hot.join(apart, "key")
+        if again is not None:
+            ids = kept(still.select("id").distinct(), "apart")
+            if ids.isEmpty():
+                break
+            found, again = kept(again(ids), "again"), None
+            continue
         p, q = (still.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root"))) for side in "ab")
         close = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
         more = p.join(q, "key").where(close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-        more, more_path = kit.keep(more.join(pairs, ["a", "b"], "left_anti"), "more")
+        more = kept(more.join(done, ["a", "b"], "left_anti"), "more")
         if not more.isEmpty():
             labels = components(links.union(verify(more)))
-        for path in (named_path, more_path):
-            kit.remove(spark, path)
-    kit.remove(spark, pairs_path)
+        break
+    for path in paths:
+        kit.remove(spark, path)
     return labels

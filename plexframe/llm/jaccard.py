@@ -10,12 +10,14 @@ that similar, and the keys are: each rare token, each pair of prefix tokens of t
 The frequent class is split by hash into groups that grow with the set's size band, so that pairs stay
 about as many as tokens; a set near a band's edge writes the keys of both bands.
 
-The class of a token changes the work, never the result. Frequent tokens are those that a lossy count
-over all documents finds in `FREQUENT` different sets or more, the `CLASS_SIZE` most frequent of them.
+The class of a token changes the work, never the result. At first, frequent tokens are those that a lossy
+count over all documents finds in `FREQUENT` different sets or more, the `CLASS_SIZE` most frequent of them.
 
 Equal sets are one node, however many documents have them. Sets that share a key are candidates: all pairs
 for a few sets, and for more, each with the first; whatever those leave apart is joined in a second
-round, pair by pair, between sets not yet in one component (see candidates.py). Candidates are verified on whole sets, which
+round, between sets not yet in one component (see candidates.py): all tokens of just these sets are counted
+exactly, and they are indexed anew with the tokens that more than a few of them share as frequent class; what
+then still shares a key is paired. Candidates are verified on whole sets, which
 further scans fetch through a filter of bounded size; a first look at a quarter of the tokens of each
 set spares most of those that are not similar.
 
@@ -31,11 +33,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
-from plexframe.llm.candidates import groups, pair_up
+from plexframe.llm.candidates import ALL_PAIRS, groups, pair_up
 
 WORDS = 5
 #: Similarity as a whole percentage.
@@ -193,8 +196,44 @@ def survey(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
     return _rows(docs, key, text).mapInArrow(run, "id long, n long, set long, token long, count long")
 
 
-def index(docs: DataFrame, key: str, text: str, words: int, percent: int, frequent, parts: int) -> DataFrame:
-    """Blocks of (key, set, n), one of each set and task."""
+def shared_tokens(docs: DataFrame, key: str, text: str, words: int, wanted, parts: int) -> np.ndarray:
+    """The tokens that more than `ALL_PAIRS` of the sets that the filter lets through have, the `CLASS_SIZE` most frequent of them, sorted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fresh = _Fresh()
+        for batch in batches:
+            held = [np.zeros(0, np.uint64)]
+            for _, _, token, off in sets(batch.column(1), words):
+                ids = set_ids(token, off)
+                held += [token[off[r] : off[r + 1]] for r in fresh(np.where(wanted.value.may_hold(ids), ids, np.uint64(0)))]
+            t, c = np.unique(np.concatenate(held), return_counts=True)
+            for k, own in ((1, t[c == 1]), (0, t[c > 1])):
+                # tokens seen once in a batch go without a number
+                columns = [own] if k else [own, c[c > 1].astype(np.uint32)]
+                yield _kinds(k, kit.blocks((own % np.uint64(parts)).astype(np.int64), columns, parts))
+
+    def count(table: pa.Table) -> pa.Table:
+        once = kit.unblock(table.filter(pc.equal(table["kind"], 1)), ["u8"])["f0"]
+        more = kit.unblock(table.filter(pc.equal(table["kind"], 0)), ["u8", "u4"])
+        t = np.concatenate([once, more["f0"]])
+        order = np.argsort(t, kind="stable")
+        t, c = t[order], np.concatenate([np.ones(len(once), np.int64), more["f1"].astype(np.int64)])[order]
+        cut = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, np.int64)
+        c = np.add.reduceat(c, cut) if len(t) else c
+        return pa.table({"token": _signed(t[cut][c > ALL_PAIRS]), "c": pa.array(c[c > ALL_PAIRS])})
+
+    found = _rows(docs, key, text).mapInArrow(run, "kind int, part int, payload binary").groupBy("part").applyInArrow(count, "token long, c long")
+    top = found.orderBy(F.desc("c"), "token").limit(CLASS_SIZE).select("token").toArrow()["token"].to_numpy()
+    return np.sort(top.view(np.uint64))
+
+
+def _kinds(kind: int, found: Iterator[tuple[int, bytes]]) -> pa.RecordBatch:
+    found = list(found)
+    return pa.record_batch([pa.array([kind] * len(found), pa.int32()), pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["kind", "part", "payload"])
+
+
+def index(docs: DataFrame, key: str, text: str, words: int, percent: int, frequent, parts: int, wanted=None) -> DataFrame:
+    """Blocks of (key, set, n), one of each set and task; wanted: a filter of the sets to be indexed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh, common = _Fresh(), frequent.value
@@ -202,6 +241,8 @@ def index(docs: DataFrame, key: str, text: str, words: int, percent: int, freque
             k, s, n = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.uint32)]
             for _, _, token, off in sets(batch.column(1), words):
                 ids = set_ids(token, off)
+                if wanted is not None:
+                    ids = np.where(wanted.value.may_hold(ids), ids, np.uint64(0))
                 for r in fresh(ids):
                     own = keys(token[off[r] : off[r + 1]], common, percent)
                     k.append(own), s.append(np.full(len(own), ids[r])), n.append(np.full(len(own), off[r + 1] - off[r], np.uint32))
@@ -291,7 +332,13 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 
     found = kit.block_reduce(index(docs, key, text, words, percent, frequent, parts), lambda t: pair_up(t, percent), "kind long, a long, b long, n long")
     found, found_path = kit.keep(found, "candidates")
-    labels = groups(found, lambda pairs: verify(pairs, docs, key, text, words, percent), percent)
+
+    def again(ids: DataFrame) -> DataFrame:
+        wanted = spark.sparkContext.broadcast(kit.build_filter(ids, "id", ids.count()))
+        shared = spark.sparkContext.broadcast(shared_tokens(docs, key, text, words, wanted, parts))
+        return kit.block_reduce(index(docs, key, text, words, percent, shared, parts, wanted), lambda t: pair_up(t, percent), "kind long, a long, b long, n long")
+
+    labels = groups(found, lambda pairs: verify(pairs, docs, key, text, words, percent), percent, again)
     kit.remove(spark, found_path)
 
     rows = seen.where("set is not null").select("id", "n", "set")
