@@ -71,6 +71,9 @@ def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], percent:
         named, named_path = kit.keep(named, "named")
         apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
         still = named.join(apart, "key")
+        # of keys that the same items share, as those of one group of copies do, one is enough
+        same = still.groupBy("key").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("count"), F.min("id").alias("least"))
+        still = still.join(same.groupBy("sum", "count", "least").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
         p, q = (still.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root"))) for side in "ab")
         close = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
         more = p.join(q, "key").where(close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
