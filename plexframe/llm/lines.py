@@ -32,8 +32,10 @@ MIN_WORDS = 4
 #: Edit similarity as a whole percentage: 1 - distance / length of the longer.
 PERCENT = 85
 BLOCKS, BLOCK_BITS = 4, 32
-#: Buckets that trigrams are counted in, and pairs counted at a time.
-_TRIGRAM_BITS, _PAIRS = 11, 64
+#: Buckets that trigrams are counted in; pairs whose distances advance together, and 64-bit words of their texts at most.
+_TRIGRAM_BITS, _PAIRS, _WORDS = 16, 1024, 8
+#: Pairs and characters that a task collects before it verifies them.
+_HELD = 8192, 1 << 23
 _EACH_BYTE = np.uint64(0x0101010101010101)
 
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -162,31 +164,96 @@ def distance_within(a: str, b: str, most: int) -> bool:
     return score <= most
 
 
-def may_be_similar(a: list[str], b: list[str], percent: int = PERCENT) -> np.ndarray:
-    """Whether a pair's texts share the trigrams that two texts within the edit distance must share.
+def may_be_similar(a: str, b: str, percent: int = PERCENT) -> bool:
+    """Whether two texts share the trigrams that texts within the edit distance must share.
 
     An edit changes three trigrams at most, so two texts at distance d share all but 3 * d of the longer's. Trigrams
     are counted by buckets of a hash, which can only raise what is shared: no pair is lost."""
-    out = np.zeros(len(a), bool)
-    for i in range(0, len(a), _PAIRS):
-        n = [np.array([len(x) for x in side[i : i + _PAIRS]], np.int64) for side in (a, b)]
-        counts = []
-        for side, size in zip((a, b), n, strict=True):
-            c = np.frombuffer("".join(side[i : i + _PAIRS]).encode("utf-32-le", "surrogatepass"), np.uint32)
-            of = np.repeat(np.arange(len(size)), size)
-            h = (c[:-2] * np.uint32(0x9E3779B1) + c[1:-1] * np.uint32(0x85EBCA77) + c[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - _TRIGRAM_BITS)
-            key = (of[:-2] << _TRIGRAM_BITS) + h.astype(np.int64)
-            counts.append(np.bincount(key[of[:-2] == of[2:]], minlength=len(size) << _TRIGRAM_BITS))
-        shared = np.minimum(*counts).reshape(-1, 1 << _TRIGRAM_BITS).sum(1)
-        longer = np.maximum(*n)
-        out[i : i + _PAIRS] = shared >= longer - 2 - 3 * (longer * (100 - percent) // 100)
-    return out
+    counts = []
+    for text in (a, b):
+        c = _codes([text])
+        h = (c[:-2] * np.uint32(0x9E3779B1) + c[1:-1] * np.uint32(0x85EBCA77) + c[2:] * np.uint32(0xC2B2AE3D)) >> np.uint32(32 - _TRIGRAM_BITS)
+        counts.append(np.bincount(h, minlength=1 << _TRIGRAM_BITS))
+    longer = max(len(a), len(b))
+    return np.minimum(*counts).sum() >= longer - 2 - 3 * (longer * (100 - percent) // 100)
 
 
 def similar(a: str, b: str, percent: int = PERCENT) -> bool:
     longer = max(len(a), len(b))
     most = longer * (100 - percent) // 100
-    return aligned_within(a, b, most) or distance_within(a, b, most)
+    return aligned_within(a, b, most) or (may_be_similar(a, b, percent) and distance_within(a, b, most))
+
+
+def _codes(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def distances(a: list[str], b: list[str]) -> np.ndarray:
+    """Edit distances of pairs; a's text is no longer than b's and all of a's take equally many 64-bit words.
+
+    The bit-parallel columns of all pairs advance together, a character of b at a time; carries and shifts go
+    from word to word. Pairs stand by falling length of b, so those not yet done are always the first ones."""
+    n, m = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+    order = np.argsort(-m, kind="stable")
+    n, m = n[order], m[order]
+    p, t = (_codes([side[i] for i in order]) for side in (a, b))
+    seen = np.zeros(int(max(p.max(), t.max())) + 1, bool)
+    seen[p], seen[t] = True, True
+    code, size = np.cumsum(seen) - 1, int(seen.sum())
+    words, pairs = -(-int(n[0]) // 64), len(n)
+    of = np.repeat(np.arange(pairs), n)
+    place = np.arange(len(p)) - np.repeat(np.cumsum(n) - n, n)
+    equal = np.zeros((words, pairs * size), np.uint64)
+    # positions of a text differ, so adding their bits sets them
+    np.add.at(equal, (place >> 6, of * size + code[p]), np.uint64(1) << (place & 63).astype(np.uint64))
+    of = np.repeat(np.arange(pairs), m)
+    at = np.zeros((int(m[0]), pairs), np.int64)
+    at[np.arange(len(t)) - np.repeat(np.cumsum(m) - m, m), of] = of * size + code[t]
+    going = np.searchsorted(-m, -np.arange(int(m[0])), "left")
+    one, high, last = np.uint64(1), np.uint64(63), ((n - 1) & 63).astype(np.uint64)
+    up, down = np.full((words, pairs), ~np.uint64(0)), np.zeros((words, pairs), np.uint64)
+    out = n.copy()
+    for j, k in enumerate(going.tolist()):
+        carry, plus_in, minus_in = np.uint64(0), one, np.uint64(0)
+        for w in range(words):
+            u, v = up[w, :k], down[w, :k]
+            x = equal[w][at[j, :k]] | v
+            first = (x & u) + u
+            total = first + carry
+            carry = ((first < u) | (total < first)).astype(np.uint64)
+            d = (total ^ u) | x
+            plus, minus = v | ~(d | u), u & d
+            if w == words - 1:
+                out[:k] += (plus >> last[:k] & one).astype(np.int64) - (minus >> last[:k] & one).astype(np.int64)
+            shifted, grown = minus << one | minus_in, plus << one | plus_in
+            plus_in, minus_in = plus >> high, minus >> high
+            up[w, :k], down[w, :k] = shifted | ~(d | grown), grown & d
+    back = np.empty_like(out)
+    back[order] = out
+    return back
+
+
+def all_similar(a: list[str], b: list[str], percent: int = PERCENT) -> np.ndarray:
+    """similar() of many pairs: short ones together, others one by one."""
+    a, b = zip(*(sorted(pair, key=len) for pair in zip(a, b, strict=True)), strict=True) if a else ((), ())
+    n, m = (np.array([len(x) for x in side], np.int64) for side in (a, b))
+    most = m * (100 - percent) // 100
+    out = m - n <= most
+    words = -(-n // 64)
+    for w in np.unique(words[out & (n > 0)]).tolist():
+        which = np.flatnonzero(out & (words == w))
+        if w > _WORDS:
+            out[which] = [similar(a[i], b[i], percent) for i in which.tolist()]
+            continue
+        which = which[np.argsort(m[which], kind="stable")]
+        for i in range(0, len(which), _PAIRS):
+            some = which[i : i + _PAIRS]
+            kinds = len(set("".join(a[k] + b[k] for k in some)))
+            # tables of equal characters take 16 MB at most
+            step = max(1, (1 << 21) // (kinds * w))
+            for part in (some[k : k + step] for k in range(0, len(some), step)):
+                out[part] = distances([a[k] for k in part], [b[k] for k in part]) <= most[part]
+    return out
 
 
 def _order(x: np.ndarray) -> np.ndarray:
@@ -281,23 +348,38 @@ def fetch(rows: DataFrame, min_words: int, wanted) -> DataFrame:
     return rows.mapInArrow(run, "id long, line string")
 
 
-def verify(pairs: DataFrame, rows: DataFrame, min_words: int, percent: int) -> DataFrame:
+def lines_of(ids: DataFrame, rows: DataFrame, min_words: int) -> tuple[DataFrame, str]:
+    """A scratch table (id, line) of the normalised lines with these hashes."""
     spark = rows.sparkSession
-    ids, ids_path = kit.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+    ids, path = kit.keep(ids.distinct(), "ids")
     wanted = spark.sparkContext.broadcast(kit.build_filter(ids, "id", ids.count()))
-    found, found_path = kit.keep(fetch(rows, min_words, wanted).join(ids, "id", "left_semi").dropDuplicates(["id"]), "lines")
+    found = kit.keep(fetch(rows, min_words, wanted).join(ids, "id", "left_semi").dropDuplicates(["id"]), "lines")
+    kit.remove(spark, path)
+    return found
+
+
+def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose lines are similar; found: lines_of() all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held)
+            held.clear()
+            good = all_similar(t.column(2).to_pylist(), t.column(3).to_pylist(), percent)
+            return t.select([0, 1]).filter(pa.array(good, pa.bool_())).combine_chunks()
+
         for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = [bool(may) and similar(p, q, percent) for may, p, q in zip(may_be_similar(x, y, percent), x, y, strict=True)]
-            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= _HELD[0] or sum(x.nbytes for x in held) >= _HELD[1]:
+                yield from flush().to_batches()
+        if held:
+            yield from flush().to_batches()
 
     left, right = (found.select(F.col("id").alias(f"id_{x}"), F.col("line").alias(f"t_{x}")) for x in "ab")
     joined = pairs.select("a", "b").join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
     good, _ = kit.keep(joined.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long"), "good")
-    for path in (ids_path, found_path):
-        kit.remove(spark, path)
     return good
 
 
@@ -311,7 +393,11 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     settled, settled_path = kit.keep(settled, "settled")
     found = kit.block_reduce(settled.where("kind = 2"), lambda t: pair_up(t, percent), "kind long, a long, b long, n long")
     found, found_path = kit.keep(found, "candidates")
-    labels = groups(found, lambda pairs: verify(pairs, rows, min_words, percent), percent)
+    # both rounds of groups() look at these lines only
+    ids = found.select(F.explode(F.when(F.col("kind") == 0, F.array("a", "b")).otherwise(F.array("b"))).alias("id"))
+    bodies, bodies_path = lines_of(ids, rows, min_words)
+    labels = groups(found, lambda pairs: verify(pairs, bodies, percent), percent)
+    kit.remove(spark, bodies_path)
 
     firsts = _unpack(settled.where("kind = 0"), [("h", "u8"), ("d", "u8"), ("i", "i8"), ("z", "u1"), ("l", "u4")], "h long, d long, i long, z long, l long")
     firsts = firsts.join(labels, F.col("h") == F.col("id")).select("root", F.struct("z", "i", "d", "l").alias("at"))

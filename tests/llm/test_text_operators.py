@@ -1,6 +1,7 @@
 """Text operators against brute force, with nulls, empty and repeated rows."""
 
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -177,3 +178,29 @@ def test_line_dedup(spark):
 @pytest.mark.parametrize("run", [lambda d: jaccard.similar_groups(d), lambda d: suffix_tree.score(d), lambda d: quality.verdicts(d), lambda d: lines.dedup_rows(d), lambda d: mixing.mix_documents(d)])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
+
+
+def test_distances_that_advance_together_agree_with_the_plain_recurrence():
+    rnd = random.Random(3)
+
+    def plain(x, y):
+        row = list(range(len(y) + 1))
+        for i, c in enumerate(x, 1):
+            last, row = row, [i]
+            for j, d in enumerate(y, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (c != d)))
+        return row[-1]
+
+    a, b = [], []
+    for n in [0, 1, 5, 63, 64, 65, 127, 128, 129, 200, 511, 513, 600] * 6:
+        x = [rnd.choice("abcdé 漢") for _ in range(n)]
+        y = list(x)
+        for _ in range(int(n * rnd.uniform(0, 0.3))):
+            i = rnd.randrange(len(y))
+            y[i : i + rnd.randrange(2)] = rnd.choice(["", "x", "yz"])
+        a.append("".join(x)), b.append("".join(y))
+    far = [plain(x, y) for x, y in zip(a, b, strict=True)]
+    want = [d <= max(len(x), len(y)) * 15 // 100 for d, x, y in zip(far, a, b, strict=True)]
+    assert lines.all_similar(a, b).tolist() == want
+    assert [lines.similar(x, y) for x, y in zip(a, b, strict=True)] == want
+    assert lines.all_similar([], []).tolist() == []
