@@ -32,8 +32,8 @@ MIN_WORDS = 4
 #: Edit similarity as a whole percentage: 1 - distance / length of the longer.
 PERCENT = 85
 BLOCKS, BLOCK_BITS = 4, 32
-#: Buckets that trigrams are counted in; pairs whose distances advance together, and 64-bit words of their texts at most.
-_TRIGRAM_BITS, _PAIRS, _WORDS = 16, 1024, 8
+#: Buckets that trigrams are counted in; pairs whose distances advance together, at least for each word and at most; 64-bit words of their texts.
+_TRIGRAM_BITS, _MANY, _PAIRS, _WORDS = 14, 32, 1024, 32
 #: Pairs and characters that a task collects before it verifies them.
 _HELD = 8192, 1 << 23
 _EACH_BYTE = np.uint64(0x0101010101010101)
@@ -189,7 +189,7 @@ def _codes(texts: list[str]) -> np.ndarray:
 
 
 def distances(a: list[str], b: list[str]) -> np.ndarray:
-    """Edit distances of pairs; a's text is no longer than b's and all of a's take equally many 64-bit words.
+    """Edit distances of pairs; a's texts are not empty and no longer than b's.
 
     The bit-parallel columns of all pairs advance together, a character of b at a time; carries and shifts go
     from word to word. Pairs stand by falling length of b, so those not yet done are always the first ones."""
@@ -200,7 +200,7 @@ def distances(a: list[str], b: list[str]) -> np.ndarray:
     seen = np.zeros(int(max(p.max(), t.max())) + 1, bool)
     seen[p], seen[t] = True, True
     code, size = np.cumsum(seen) - 1, int(seen.sum())
-    words, pairs = -(-int(n[0]) // 64), len(n)
+    words, pairs = -(-int(n.max()) // 64), len(n)
     of = np.repeat(np.arange(pairs), n)
     place = np.arange(len(p)) - np.repeat(np.cumsum(n) - n, n)
     equal = np.zeros((words, pairs * size), np.uint64)
@@ -210,8 +210,10 @@ def distances(a: list[str], b: list[str]) -> np.ndarray:
     at = np.zeros((int(m[0]), pairs), np.int64)
     at[np.arange(len(t)) - np.repeat(np.cumsum(m) - m, m), of] = of * size + code[t]
     going = np.searchsorted(-m, -np.arange(int(m[0])), "left")
-    one, high, last = np.uint64(1), np.uint64(63), ((n - 1) & 63).astype(np.uint64)
+    one, high, last, each = np.uint64(1), np.uint64(63), ((n - 1) & 63).astype(np.uint64), np.arange(pairs)
     up, down = np.full((words, pairs), ~np.uint64(0)), np.zeros((words, pairs), np.uint64)
+    more, less = np.zeros_like(up), np.zeros_like(up)
+    end = n - 1 >> 6
     out = n.copy()
     for j, k in enumerate(going.tolist()):
         carry, plus_in, minus_in = np.uint64(0), one, np.uint64(0)
@@ -223,27 +225,35 @@ def distances(a: list[str], b: list[str]) -> np.ndarray:
             carry = ((first < u) | (total < first)).astype(np.uint64)
             d = (total ^ u) | x
             plus, minus = v | ~(d | u), u & d
-            if w == words - 1:
-                out[:k] += (plus >> last[:k] & one).astype(np.int64) - (minus >> last[:k] & one).astype(np.int64)
+            more[w, :k], less[w, :k] = plus, minus
             shifted, grown = minus << one | minus_in, plus << one | plus_in
             plus_in, minus_in = plus >> high, minus >> high
             up[w, :k], down[w, :k] = shifted | ~(d | grown), grown & d
+        at_end = end[:k], each[:k]
+        out[:k] += (more[at_end] >> last[:k] & one).astype(np.int64) - (less[at_end] >> last[:k] & one).astype(np.int64)
     back = np.empty_like(out)
     back[order] = out
     return back
 
 
 def all_similar(a: list[str], b: list[str], percent: int = PERCENT) -> np.ndarray:
-    """similar() of many pairs: short ones together, others one by one."""
+    """similar() of many pairs; the distances that nothing cheaper settles are worked out together where there are many."""
     a, b = zip(*(sorted(pair, key=len) for pair in zip(a, b, strict=True)), strict=True) if a else ((), ())
     n, m = (np.array([len(x) for x in side], np.int64) for side in (a, b))
     most = m * (100 - percent) // 100
     out = m - n <= most
-    words = -(-n // 64)
-    for w in np.unique(words[out & (n > 0)]).tolist():
-        which = np.flatnonzero(out & (words == w))
-        if w > _WORDS:
-            out[which] = [similar(a[i], b[i], percent) for i in which.tolist()]
+    left = []
+    for i in np.flatnonzero(out).tolist():
+        out[i] = aligned_within(a[i], b[i], int(most[i]))
+        if not out[i] and may_be_similar(a[i], b[i], percent):
+            left.append(i)
+    left = np.array(left, np.int64)
+    # texts of up to 1, 2, 4, ... words together
+    words = np.array([1 << (int(k - 1) // 64).bit_length() if k else 0 for k in n[left]], np.int64)
+    for w in np.unique(words).tolist():
+        which = left[words == w]
+        if not 0 < w <= _WORDS or len(which) < _MANY * w:
+            out[which] = [distance_within(a[i], b[i], int(most[i])) for i in which.tolist()]
             continue
         which = which[np.argsort(m[which], kind="stable")]
         for i in range(0, len(which), _PAIRS):

@@ -180,7 +180,7 @@ def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
 
 
-def test_distances_that_advance_together_agree_with_the_plain_recurrence():
+def test_distances_that_advance_together_agree_with_the_plain_recurrence(monkeypatch):
     rnd = random.Random(3)
 
     def plain(x, y):
@@ -204,3 +204,7 @@ def test_distances_that_advance_together_agree_with_the_plain_recurrence():
     assert lines.all_similar(a, b).tolist() == want
     assert [lines.similar(x, y) for x, y in zip(a, b, strict=True)] == want
     assert lines.all_similar([], []).tolist() == []
+    short, long_ = zip(*(sorted(x, key=len) for x in zip(a, b, strict=True) if all(x)), strict=True)
+    assert lines.distances(list(short), list(long_)).tolist() == [d for d, x, y in zip(far, a, b, strict=True) if x and y]
+    monkeypatch.setattr(lines, "_MANY", 1)
+    assert lines.all_similar(a, b).tolist() == want
