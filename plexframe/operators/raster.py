@@ -178,3 +178,38 @@ def in_rect(x0: float, y0: float, x1: float, y1: float, width: Column, height: C
     """Whether (x, y) lies in a region of normalised corners: bounds are rounded half to even, clamped and half open."""
     edge = lambda f, size: F.least(size, F.greatest(F.lit(0), F.bround(F.lit(float(f)) * size).cast("int")))
     return (F.col("x") >= edge(x0, width)) & (F.col("x") < edge(x1, width)) & (F.col("y") >= edge(y0, height)) & (F.col("y") < edge(y1, height))
+
+
+def in_polygon(points: list[tuple[float, float]], width: Column, height: Column) -> Column:
+    """Whether (x, y) lies in a polygon of normalised corners or on its edge, by the even-odd rule.
+
+    Corners are rounded half to even and clamped to the last pixel; a polygon of fewer than three corners is an error."""
+    if len(points) < 3:
+        raise ValueError("a polygon needs three points")
+    pixel = lambda f, size: F.least(size - 1, F.greatest(F.lit(0), F.bround(F.lit(float(f)) * size).cast("int"))).cast("double")
+    corners = [(pixel(px, width), pixel(py, height)) for px, py in points]
+    x, y, crossings, on_edge = F.col("x"), F.col("y"), F.lit(0), F.lit(False)
+    for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1], strict=True):
+        side = (bx - ax) * (y - ay) - (by - ay) * (x - ax)
+        between = x.between(F.least(ax, bx), F.greatest(ax, bx)) & y.between(F.least(ay, by), F.greatest(ay, by))
+        on_edge = on_edge | ((side == 0) & between)
+        crossings = crossings + (((ay > y) != (by > y)) & ((side > 0) == (by > ay)) & (side != 0)).cast("int")
+    return on_edge | (crossings % 2 == 1)
+
+
+def replace_within(mask: DataFrame, other: DataFrame, inside: Column, both: bool = False) -> DataFrame:
+    """The mask with the other mask's pixels inside a region: instead of its own, or (both) beside its own. Pixels that other lacks are 0 there."""
+    k = F.coalesce("k", F.lit(0))
+    out = mask.join(other.select("image", "y", "x", F.col("m").alias("k")), ["image", "y", "x"], "left")
+    return out.select("image", "y", "x", F.when(inside, F.greatest("m", k) if both else k).otherwise(F.col("m")).alias("m"))
+
+
+def near(mask: DataFrame, anchor: DataFrame, radius: int) -> DataFrame:
+    """The mask's foreground that lies within the disc around foreground of the anchor; a gate."""
+    wide = dilate(anchor, radius).select("image", "y", "x", F.col("m").alias("k"))
+    return mask.join(wide, ["image", "y", "x"], "left").select("image", "y", "x", (F.col("m") * F.coalesce("k", F.lit(0))).alias("m"))
+
+
+def recover_support(mask: DataFrame, high: DataFrame, anchor: DataFrame, radius: int) -> DataFrame:
+    """The mask, and with it the high mask's foreground near the anchor's."""
+    return replace_within(mask, near(high, anchor, radius), F.lit(True), both=True)

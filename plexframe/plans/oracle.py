@@ -111,6 +111,12 @@ ORACLE_SQL: dict[str, str] = {
     **{f"{k}_filter": f"WITH RECURSIVE {_PM}, {_components('pm')} SELECT image, label, area FROM st WHERE {w}" for k, w in _KEEP.items()},
     "bounded_hole_fill": f"WITH RECURSIVE {_PM}, {_components('pm', 0)}, inner_ AS (SELECT image, label FROM st WHERE x0>0 AND y0>0 AND x0+w<8 AND y0+h<8 AND area<=1), d AS (SELECT pm.image, pm.y, pm.x, CASE WHEN i.label IS NOT NULL THEN 1 ELSE m END AS m FROM pm LEFT JOIN lab ON lab.image=pm.image AND lab.y=pm.y AND lab.x=pm.x LEFT JOIN inner_ i ON i.image=lab.image AND i.label=lab.label) " + _COUNT.format("d"),
     "exclude_force_rect": _M + " SELECT image, y, x, CASE WHEN x>=4 AND y<2 THEN 1 WHEN x<4 AND y<4 THEN 0 ELSE m END AS m FROM mk",
+    "polygon_fill": _M
+    + """, e(ax, ay, cx, cy) AS (VALUES (1,1,7,2), (7,2,4,4), (4,4,6,7), (6,7,2,6), (2,6,1,1)),
+ w AS (SELECT image, y, x, m, sum(CAST((ay > y) <> (cy > y) AND x < ax + (cx-ax)*(y-ay)/CAST(cy-ay AS DOUBLE) AS INT)) AS crossings, bool_or((cx-ax)*(y-ay) = (cy-ay)*(x-ax) AND x BETWEEN least(ax,cx) AND greatest(ax,cx) AND y BETWEEN least(ay,cy) AND greatest(ay,cy)) AS on_edge FROM mk, e GROUP BY image, y, x, m)
+ SELECT image, y, x, CASE WHEN on_edge OR crossings % 2 = 1 THEN 1 ELSE m END AS m FROM w""",
+    "support_recovery": f"WITH {_U8}, {_mask('a', 'percentile', 0.55)}, {_mask('b', 'max', 0.7)}, {_dilated('d', 'a', 1)} SELECT a.image, a.y, a.x, greatest(a.m, b.m*d.m) AS m FROM a JOIN b ON a.image=b.image AND a.y=b.y AND a.x=b.x JOIN d ON a.image=d.image AND a.y=d.y AND a.x=d.x",
+    "region_replace": f"WITH {_U8}, {_mask('a', 'percentile', 0.55)}, {_mask('b', 'max', 0.7)} SELECT a.image, a.y, a.x, CASE WHEN a.x>=2 AND a.x<6 AND a.y>=1 THEN b.m ELSE a.m END AS m FROM a JOIN b ON a.image=b.image AND a.y=b.y AND a.x=b.x",
     "mask_set_ops": f"WITH {_U8}, {_mask('a', 'percentile', 0.55)}, {_mask('b', 'max', 0.7)} SELECT a.image, CAST(sum(greatest(a.m,b.m)) AS BIGINT) AS either, CAST(sum(a.m*b.m) AS BIGINT) AS both, CAST(sum(a.m*(1-b.m)) AS BIGINT) AS only_a FROM a JOIN b ON a.image=b.image AND a.y=b.y AND a.x=b.x GROUP BY a.image",
     "z_projection": f"WITH {_PX} SELECT image, channel % 3 AS z, y, x, max(v) AS v_max, round(avg(v), 9) AS v_mean FROM px GROUP BY image, channel % 3, y, x",
     "marker_normalize": _L + " SELECT p_partkey, marker FROM nz",

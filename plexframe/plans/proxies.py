@@ -110,6 +110,25 @@ def mask_set_ops(spark, sf):
     return j.groupBy("image").agg(F.sum(F.greatest("m", "k")).alias("either"), F.sum(F.col("m") * F.col("k")).alias("both"), F.sum(F.col("m") * (1 - F.col("k"))).alias("only_a"))
 
 
+#: Corners of the test polygon, clockwise with a notch.
+POLYGON = [(0.125, 0.125), (0.875, 0.25), (0.5, 0.5), (0.75, 0.875), (0.25, 0.75)]
+
+
+def polygon_fill(spark, sf):
+    inside = R.in_polygon(POLYGON, F.lit(8), F.lit(8))
+    return masks(spark, sf).withColumn("m", F.when(inside, 1).otherwise(F.col("m")))
+
+
+def support_recovery(spark, sf):
+    a, b = masks(spark, sf), R.foreground(fused(spark, sf, "max"), 70.0)
+    return R.recover_support(a, b, a, 1)
+
+
+def region_replace(spark, sf):
+    a, b = masks(spark, sf), R.foreground(fused(spark, sf, "max"), 70.0)
+    return R.replace_within(a, b, R.in_rect(0.25, 0.125, 0.75, 1.0, F.lit(8), F.lit(8)))
+
+
 def token_masks(spark, sf):
     h = T.hash_int(F.lit("7"), F.col("image").cast("string"), F.col("token").cast("string"))
     t = slides(spark, sf).withColumn("token", F.explode(F.sequence(F.lit(0), F.lit(3))))
@@ -139,7 +158,7 @@ QUERIES = {
     "min_area_filter": with_stats("min_area", 0.05), "frame_filter": with_stats("frame"), "strip_filter": with_stats("strip"),
     "small_edge_filter": with_stats("small_edge", 0.05), "sparse_filter": with_stats("sparse"), "thin_filter": with_stats("thin"),
     "bounded_hole_fill": lambda s, d: counted(R.fill_holes(plane_masks(s, d), 0.02)),
-    "exclude_force_rect": exclude_force, "mask_set_ops": mask_set_ops, "z_projection": z_projection,
+    "exclude_force_rect": exclude_force, "polygon_fill": polygon_fill, "support_recovery": support_recovery, "region_replace": region_replace, "mask_set_ops": mask_set_ops, "z_projection": z_projection,
     "marker_normalize": lambda s, d: L.normalize_labels(raw_labels(s, d), "raw", "marker").select("p_partkey", "marker"),
     "marker_lookup": lambda s, d: looked_up(s, d).select("p_partkey", "marker_id"),
     "marker_counts": lambda s, d: looked_up(s, d).groupBy("marker_id").agg(F.count(F.lit(1)).alias("n")),

@@ -85,7 +85,7 @@ def test_offsets_skip_empty_entries(spark):
     assert {(r.ord, r.lo, r.hi) for r in T.offsets(df, "ord", "n").collect()} == {(0, 0, 2), (2, 2, 5)}
 
 
-@pytest.mark.parametrize("name", ["flagship_patch_coords", "marker_lookup", "manifest_merge", "mask_runs"])
+@pytest.mark.parametrize("name", ["flagship_patch_coords", "marker_lookup", "manifest_merge", "mask_runs", "polygon_fill", "support_recovery", "region_replace"])
 def test_against_duckdb(spark, name):
     import duckdb
 
