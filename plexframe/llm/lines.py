@@ -271,6 +271,14 @@ def _order(x: np.ndarray) -> np.ndarray:
     return np.lexsort((x["f7"], x["f4"], x["f5"], x["f6"], x["f0"]))
 
 
+def _same(x: np.ndarray) -> np.ndarray:
+    """Which of these ordered occurrences have the line, document and number of the one before them."""
+    same = np.zeros(len(x), bool)
+    if len(x) > 1:
+        same[1:] = (x["f0"][1:] == x["f0"][:-1]) & (x["f4"][1:] == x["f4"][:-1]) & (x["f7"][1:] == x["f7"][:-1])
+    return same
+
+
 def scan(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
     """kind 0: blocks of first occurrences in a slice; kind 1: blocks of the others (document, line), which all go."""
 
@@ -290,7 +298,8 @@ def scan(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
                 order = _order(seen)
                 h = x.hash[order]
                 new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-                first, again = order[new], seen[order[~new]]
+                # equal rows are one document: an occurrence like the one before it doesn't go
+                first, again = order[new], seen[order[~new & ~_same(seen[order])]]
                 seen["f1"][first], seen["f2"][first] = x.simhash(first)
                 seen = seen[first]
                 found += [(0, p, b) for p, b in kit.blocks((seen["f0"] % np.uint64(parts)).astype(np.int64), [seen[f] for f in seen.dtype.names], parts)]
@@ -308,10 +317,7 @@ def settle(table: pa.Table, parts: int) -> pa.Table:
     h = x["f0"]
     new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
     # equal rows are one document: an occurrence like the one before it doesn't go
-    same = np.zeros(len(x), bool)
-    if len(x) > 1:
-        same[1:] = (h[1:] == h[:-1]) & (x["f4"][1:] == x["f4"][:-1]) & (x["f7"][1:] == x["f7"][:-1])
-    first, again = x[new], x[~new & ~same]
+    first, again = x[new], x[~new & ~_same(x)]
     kind, part = [0], [0]
     packed = np.empty(len(first), [("h", "u8"), ("d", "u8"), ("i", "i8"), ("z", "u1"), ("l", "u4")])
     for a, b in zip(("h", "d", "i", "z", "l"), ("f0", "f4", "f5", "f6", "f7"), strict=True):

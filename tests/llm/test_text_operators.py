@@ -175,6 +175,13 @@ def test_line_dedup(spark):
     assert got == {1: f"short\n{b}", 2: "own words of two here", 4: None, 5: ""}
 
 
+def test_repeated_rows_keep_their_lines(spark):
+    a, b = "this line stands in a document that is given twice", "another line of the same document given twice"
+    df = spark.createDataFrame([(1, f"{a}\n{b}"), (1, f"{a}\n{b}"), (2, f"{b}\nwords that only the second document has"), (None, a), (None, a)], "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, r.text) for r in lines.dedup_rows(df).collect())
+    assert got == [(1, f"{a}\n{b}"), (1, f"{a}\n{b}"), (2, "words that only the second document has")]
+
+
 @pytest.mark.parametrize("run", [lambda d: jaccard.similar_groups(d), lambda d: suffix_tree.score(d), lambda d: quality.verdicts(d), lambda d: lines.dedup_rows(d), lambda d: mixing.mix_documents(d)])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
