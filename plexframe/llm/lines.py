@@ -2,8 +2,9 @@
 
 Lines are normalised: capitals lowered, digits made zeros, other ASCII signs made spaces, words joined by
 one space. Lines of `MIN_WORDS` words or more take part; shorter ones say too little to be copies.
-A SimHash of 128 bits over a line's words is cut into four blocks of 32 bits: lines whose SimHashes
-differ in up to three bits agree in one block at least, and lines that agree in a block are candidates.
+A line's runs of `GRAM` bytes are dealt to bins by hash, and the least hash of each bin is its MinHash (an empty
+bin takes that of another). `ROWS` bins make a band; lines that agree in one of the `BANDS` bands are candidates,
+which finds similar lines with a probability that falls with the share of runs that edits touch (README).
 Candidates are verified by the edit similarity of their whole normalised texts. Lines joined by such
 links, directly or through others, are one group, as are equal lines; of each group, the occurrence in
 the document with the smallest id, on its first line, stays.
@@ -31,7 +32,8 @@ from plexframe.llm.candidates import groups, pair_up
 MIN_WORDS = 4
 #: Edit similarity as a whole percentage: 1 - distance / length of the longer.
 PERCENT = 85
-BLOCKS, BLOCK_BITS = 4, 32
+#: Bytes of a run, bands of a line and bins of a band.
+GRAM, BANDS, ROWS = 6, 32, 3
 #: Buckets that trigrams are counted in; pairs whose distances advance together, at least for each word and at most; 64-bit words of their texts.
 _TRIGRAM_BITS, _MANY, _PAIRS, _WORDS = 14, 32, 1024, 32
 #: Pairs and characters that a task collects before it verifies them.
@@ -45,8 +47,12 @@ _FOLD[0x41:0x5B] = np.arange(0x61, 0x7B)
 _FOLD[0x30:0x3A] = 0x30
 _FOLD[0x0A] = 0x0A
 
-#: An occurrence: hash of the line, its SimHash, characters, document (key, id, null) and number of the line.
-_SEEN = ["u8", "u8", "u8", "u4", "u8", "i8", "u1", "u4"]
+#: For each bin the others in the order in which it takes from them when it is empty; the hash of an empty bin.
+_OTHERS = np.argsort(np.random.default_rng(20240229).random((BANDS * ROWS, BANDS * ROWS)), axis=0)
+_EMPTY = ~np.uint64(0)
+
+#: An occurrence: hash of the line, document (key, id, null) and number of the line.
+_SEEN = ["u8", "u8", "i8", "u1", "u4"]
 
 
 def normalised(text: bytes) -> str:
@@ -65,6 +71,7 @@ class Lines:
         self.n_lines = np.bincount(row, minlength=j - i)
         number = np.arange(len(start)) - np.repeat(np.cumsum(self.n_lines) - self.n_lines, self.n_lines)
         ws, we, _ = s.words()
+        self.folded, self.word_start, self.word_end = s.data, ws, we
         self.word = s.hashes(ws, we)
         of = np.searchsorted(start, ws, "right") - 1
         # an empty row's line may start where the next row's does; the later one has the word
@@ -80,24 +87,38 @@ class Lines:
         self.row, self.number, self.chars = row[use], number[use], chars[use]
         self.start, self.end, self.at, self.words = start[use], end[use], at[use], words[use]
 
-    def simhash(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Two halves of the SimHash of these lines: in each bit, what most words of the line have."""
-        out = []
-        for seed in (0x1234567, 0x89ABCDE):
-            size = self.words[which]
-            cut = np.cumsum(size) - size
-            pick = np.arange(size.sum()) - np.repeat(cut, size) + np.repeat(self.at[which], size)
-            h = kit.mix(self.word[pick] ^ np.uint64(seed))
-            most = np.zeros((len(which), 8), np.uint8)
-            for k in range(8 if len(which) else 0):
-                # bit k of each byte: eight counters in one number, which lines of up to 255 words can't overflow
-                ones = np.add.reduceat(h >> np.uint64(k) & _EACH_BYTE, cut).view(np.uint8).reshape(-1, 8)
-                most |= (2 * ones.astype(np.int64) > size[:, None]).astype(np.uint8) << np.uint8(k)
-            for i in np.flatnonzero(size > 255).tolist():
-                ones = np.unpackbits(h[cut[i] : cut[i] + size[i]].view(np.uint8).reshape(-1, 8), axis=1).sum(0)
-                most[i] = np.packbits(2 * ones > size[i])
-            out.append(most.view(np.uint64).ravel())
-        return out[0], out[1]
+    def keys(self, which: np.ndarray) -> np.ndarray:
+        """A key of each band of these lines."""
+        size = self.words[which]
+        pick = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(self.at[which], size)
+        length = self.word_end[pick] - self.word_start[pick]
+        line = np.repeat(np.arange(len(which)), size)
+        # normalised lines, a space after each word, with spaces before a line so that no run reaches another's
+        begin = np.cumsum(length + 1) - (length + 1) + (line + 1) * (GRAM - 1)
+        plain = np.full(len(which) * (GRAM - 1) + int((length + 1).sum()), 0x20, np.uint8)
+        inside = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        plain[np.repeat(begin, length) + inside] = self.folded[np.repeat(self.word_start[pick], length) + inside]
+        of = np.repeat(line, length + 1)
+        end = np.arange(len(of)) + (of + 1) * (GRAM - 1)
+        run = np.zeros(len(of), np.uint64)
+        for k in range(GRAM):
+            run = run << np.uint64(8) | plain[end - k].astype(np.uint64)
+        h, bins = kit.mix(run), BANDS * ROWS
+        place = ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+        least = np.full(len(which) * bins, _EMPTY)
+        np.minimum.at(least, of * bins + place, kit.mix(h))
+        least = least.reshape(-1, bins)
+        own = least.copy()
+        i, j = np.nonzero(own == _EMPTY)
+        for others in _OTHERS:
+            taken = own[i, others[j]]
+            fine = taken != _EMPTY
+            least[i[fine], j[fine]] = taken[fine]
+            i, j = i[~fine], j[~fine]
+        out = np.tile(np.arange(BANDS, dtype=np.uint64), (len(which), 1))
+        for k in range(ROWS):
+            out = kit.mix(out * kit.BASE + least[:, k::ROWS])
+        return out
 
     def text(self, i: int) -> str:
         return normalised(self.raw[self.start[i] : self.end[i]].tobytes())
@@ -268,14 +289,14 @@ def all_similar(a: list[str], b: list[str], percent: int = PERCENT) -> np.ndarra
 
 def _order(x: np.ndarray) -> np.ndarray:
     """Occurrences by line, then by document and place in it."""
-    return np.lexsort((x["f7"], x["f4"], x["f5"], x["f6"], x["f0"]))
+    return np.lexsort((x["f4"], x["f1"], x["f2"], x["f3"], x["f0"]))
 
 
 def _same(x: np.ndarray) -> np.ndarray:
     """Which of these ordered occurrences have the line, document and number of the one before them."""
     same = np.zeros(len(x), bool)
     if len(x) > 1:
-        same[1:] = (x["f0"][1:] == x["f0"][:-1]) & (x["f4"][1:] == x["f4"][:-1]) & (x["f7"][1:] == x["f7"][:-1])
+        same[1:] = (x["f0"][1:] == x["f0"][:-1]) & (x["f1"][1:] == x["f1"][:-1]) & (x["f4"][1:] == x["f4"][:-1])
     return same
 
 
@@ -293,17 +314,16 @@ def scan(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
                 x = Lines(data, off, i, j, min_words)
                 seen = np.zeros(len(x.row), [(f"f{k}", d) for k, d in enumerate(_SEEN)])
                 at = i + x.row
-                for f, v in (("f0", x.hash), ("f3", x.chars), ("f4", name[at]), ("f5", number[at]), ("f6", null[at]), ("f7", x.number)):
+                for f, v in (("f0", x.hash), ("f1", name[at]), ("f2", number[at]), ("f3", null[at]), ("f4", x.number)):
                     seen[f] = v
                 order = _order(seen)
                 h = x.hash[order]
                 new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
                 # equal rows are one document: an occurrence like the one before it doesn't go
                 first, again = order[new], seen[order[~new & ~_same(seen[order])]]
-                seen["f1"][first], seen["f2"][first] = x.simhash(first)
                 seen = seen[first]
                 found += [(0, p, b) for p, b in kit.blocks((seen["f0"] % np.uint64(parts)).astype(np.int64), [seen[f] for f in seen.dtype.names], parts)]
-                found += [(1, p, b) for p, b in kit.blocks(np.zeros(len(again), np.int64), [again["f4"], again["f7"]], parts)]
+                found += [(1, p, b) for p, b in kit.blocks(np.zeros(len(again), np.int64), [again["f1"], again["f4"]], parts)]
             kind, part, body = zip(*found, strict=True) if found else ((), (), ())
             yield pa.record_batch([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(body, pa.binary())], ["kind", "part", "payload"])
 
@@ -311,7 +331,7 @@ def scan(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
 
 
 def settle(table: pa.Table, parts: int) -> pa.Table:
-    """Of equal lines in one part: kind 0 the first occurrence, kind 1 the others, kind 2 block keys of the first by part."""
+    """Of equal lines in one part: kind 0 the first occurrence, kind 1 the others."""
     x = kit.unblock(table, _SEEN)
     x = x[_order(x)]
     h = x["f0"]
@@ -320,20 +340,30 @@ def settle(table: pa.Table, parts: int) -> pa.Table:
     first, again = x[new], x[~new & ~_same(x)]
     kind, part = [0], [0]
     packed = np.empty(len(first), [("h", "u8"), ("d", "u8"), ("i", "i8"), ("z", "u1"), ("l", "u4")])
-    for a, b in zip(("h", "d", "i", "z", "l"), ("f0", "f4", "f5", "f6", "f7"), strict=True):
+    for a, b in zip(("h", "d", "i", "z", "l"), ("f0", "f1", "f2", "f3", "f4"), strict=True):
         packed[a] = first[b]
     body = [packed.tobytes()]
-    for _, b in kit.blocks(np.zeros(len(again), np.int64), [again["f4"], again["f7"]], parts):
+    for _, b in kit.blocks(np.zeros(len(again), np.int64), [again["f1"], again["f4"]], parts):
         kind.append(1), part.append(0), body.append(b)
-    for b in range(BLOCKS):
-        half = first["f1"] if b < 2 else first["f2"]
-        value = (half >> np.uint64(BLOCK_BITS * (b % 2))) & np.uint64((1 << BLOCK_BITS) - 1)
-        key = kit.mix(value | np.uint64(b << BLOCK_BITS))
-        for p, raw in kit.blocks((key % np.uint64(parts)).astype(np.int64), [key, first["f0"], first["f3"]], parts):
-            kind.append(2), part.append(p), body.append(raw)
     return pa.table({"kind": pa.array(kind, pa.int32()), "part": pa.array(part, pa.int32()), "payload": pa.array(body, pa.binary())})
 
 
+def keyed(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
+    """Blocks of (band key, line, characters) by key, of each line once for a slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = kit.texts(batch.column(2))
+            for i, j in kit.slices(off):
+                x = Lines(data, off, i, j, min_words)
+                h, first = np.unique(x.hash, return_index=True)
+                key = x.keys(first).ravel()
+                cols = [key, np.repeat(h, BANDS), np.repeat(x.chars[first].astype(np.uint32), BANDS)]
+                yield kit.block_batch(list(kit.blocks((key % np.uint64(parts)).astype(np.int64), cols, parts)))
+
+    return rows.mapInArrow(run, kit.BLOCK)
+
+
 def _unpack(df: DataFrame, dtypes: list[tuple[str, str]], schema: str) -> DataFrame:
     """Rows of payloads as long columns."""
 
@@ -407,7 +437,7 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     seen, seen_path = kit.keep(scan(rows, parts, min_words), "seen")
     settled = seen.where("kind = 0").groupBy("part").applyInArrow(lambda t: settle(t, parts), "kind int, part int, payload binary")
     settled, settled_path = kit.keep(settled, "settled")
-    found = kit.block_reduce(settled.where("kind = 2"), lambda t: pair_up(t, percent), "kind long, a long, b long, n long")
+    found = kit.block_reduce(keyed(rows, parts, min_words), lambda t: pair_up(t, percent), "kind long, a long, b long, n long")
     found, found_path = kit.keep(found, "candidates")
     # both rounds of groups() look at these lines only
     ids = found.select(F.explode(F.when(F.col("kind") == 0, F.array("a", "b")).otherwise(F.array("b"))).alias("id"))

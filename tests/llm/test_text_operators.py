@@ -182,6 +182,37 @@ def test_repeated_rows_keep_their_lines(spark):
     assert got == [(1, f"{a}\n{b}"), (1, f"{a}\n{b}"), (2, "words that only the second document has")]
 
 
+def edited_lines(seed, n):
+    """Lines of 6 to 60 words, each with a copy that has one word, a tenth of the words or 5 % of the characters changed."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9)))
+    vocab, out = [word() for _ in range(3000)], []
+    for k in range(n):
+        w = [rnd.choice(vocab) for _ in range(rnd.randint(6, 60))]
+        v = list(w)
+        for i in rnd.sample(range(len(w)), (1, max(1, len(w) // 10), 0)[k % 3]):
+            v[i] = rnd.choice(vocab)
+        c = list(" ".join(v))
+        for i in rnd.sample(range(len(c)), len(c) // 20 if k % 3 == 2 else 0):
+            c[i] = rnd.choice("abcdefghijklmnopqrstuvwxyz")
+        out.append((" ".join(w), "".join(c)))
+    return out
+
+
+def test_similar_lines_are_found_as_by_brute_force(spark):
+    """Groups by all pairs; at most 2 of 100 lines that brute force removes may be missed, and none removed that it keeps."""
+    texts = [t for pair in edited_lines(11, 60) for t in pair]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if lines.similar(texts[i], texts[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    want = {i for i, r in enumerate(root) if root.index(r) < i}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = set(range(len(texts))) - {r.doc_id for r in lines.dedup_rows(df).collect()}
+    assert gone <= want and len(want - gone) <= 0.02 * len(want) and len(want) > 40
+
+
 @pytest.mark.parametrize("run", [lambda d: jaccard.similar_groups(d), lambda d: suffix_tree.score(d), lambda d: quality.verdicts(d), lambda d: lines.dedup_rows(d), lambda d: mixing.mix_documents(d)])
 def test_empty_table(spark, run):
     assert run(spark.createDataFrame([], "doc_id long, text string, source string")).count() == 0
