@@ -1,7 +1,7 @@
 """Fuzzy line deduplication.
 
 Lines are normalised: capitals lowered, digits made zeros, other ASCII signs made spaces, words joined by
-one space. Lines of `MIN_WORDS` words or more take part; shorter ones say too little to be copies.
+one space. Lines of `MIN_WORDS` words or more take part, so all but those without a word.
 A line's runs of `GRAM` bytes are dealt to bins by hash, and the least hash of each bin is its MinHash (an empty
 bin takes that of another). `ROWS` bins make a band; lines that agree in one of the `BANDS` bands are candidates,
 which finds similar lines with a probability that falls with the share of runs that edits touch (README).
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from plexframe.llm import kit
 from plexframe.llm.candidates import groups, pair_up
 
-MIN_WORDS = 4
+MIN_WORDS = 1
 #: Edit similarity as a whole percentage: 1 - distance / length of the longer.
 PERCENT = 85
 #: Bytes of a run, bands of a line and bins of a band.

@@ -182,6 +182,13 @@ def test_repeated_rows_keep_their_lines(spark):
     assert got == [(1, f"{a}\n{b}"), (1, f"{a}\n{b}"), (2, "words that only the second document has")]
 
 
+def test_short_lines_and_lines_without_spaces_are_deduplicated(spark):
+    long_ = "日本語の文章には空白がないのでこの行は一つの語になる"
+    df = spark.createDataFrame([(1, f"All rights reserved.\n{long_}\n\nyes"), (2, f"all rights reserved\n{long_}\n\nown words of two"), (3, "\n---\n"), (4, "\n---\n")], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in lines.dedup_rows(df).collect()}
+    assert got == {1: f"All rights reserved.\n{long_}\n\nyes", 2: "\nown words of two", 3: "\n---\n", 4: "\n---\n"}
+
+
 def edited_lines(seed, n):
     """Lines of 6 to 60 words, each with a copy that has one word, a tenth of the words or 5 % of the characters changed."""
     rnd = random.Random(seed)
