@@ -12,8 +12,9 @@ a copy of the page or of its article, not a sibling; then nothing is deleted on
 marked part outside of such places stay even if a sibling has them: the site itself calls them the
 article, and articles quote the same passages.
 
-Pages of one host may be a third of all: they are dealt by host and first part of the path, and
-neighbours are read in one pass over sorted rows, three at a time.
+Pages of one host may be a third of all: all pages are dealt by ranges of host and path, whose first and
+last pages also go to the range before and after as neighbours only. Neighbours are read in one pass over
+sorted rows, three at a time, so what they are doesn't depend on the number of ranges.
 
 Defined results: null or empty html, or html without text, gives an empty text; a null url is a page
 without neighbours; equal URLs are ordered by id; repeated rows are extracted alike, as they are copies;
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -177,33 +179,47 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", sour
     host = F.regexp_extract(address, r"^([^/?#]*)", 1)
     path = F.regexp_extract(address, r"^[^/?#]*([^?#]*)", 1)
     rows = pages.select(F.col(key).alias("k"), F.col(url).alias("u"), F.col(source).cast("string").alias("t"), host.alias("h"), path.alias("p"))
-    rows = rows.withColumn("d", F.concat_ws(" ", "h", F.regexp_extract("p", r"^(/[^/]*/)", 1)))
     kind, url_kind = (pages.schema[c].dataType.simpleString() for c in (key, url))
 
+    parts = kit.partitions(pages)
+    place = F.struct("h", "p", "u", "k")
+    ranged = rows.select("h", "p", "u", "k").repartitionByRange(parts, "h", "p", "u", "k")
+    ends = ranged.groupBy(F.spark_partition_id().alias("d")).agg(F.min(place).alias("first"), F.max(place).alias("last")).collect()
+    firsts, lasts = (sorted(_place(*e[side]) for e in ends) for side in ("first", "last"))
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [blocks(t) if t else [] for t in batch.column(2).to_pylist()]
             texts = pa.array([[t for t, *_ in x] for x in found], pa.list_(pa.string()))
             places = pa.array([bytes(p + 2 * m for _, p, m in x) for x in found], pa.binary())
-            yield pa.record_batch([batch.column(0), batch.column(1), *(batch.column(i) for i in (3, 4, 5)), texts, places], ["k", "u", "h", "p", "d", "x", "y"])
+            h, p, u, k = (batch.column(i).to_pylist() for i in (3, 4, 1, 0))
+            row, part, only = [], [], []
+            for i, at in enumerate(map(_place, h, p, u, k)):
+                d = bisect_right(firsts, at) - 1
+                near = [d - 1] * (at == firsts[d] and d > 0) + [d + 1] * (at == lasts[d] and d + 1 < len(firsts))
+                for other in (d, *near):
+                    row.append(i), part.append(other), only.append(other != d)
+            cols = [c.take(pa.array(row, pa.int64())) for c in (batch.column(0), batch.column(1), batch.column(3), batch.column(4), texts, places)]
+            yield pa.record_batch([*cols[:4], pa.array(part, pa.int32()), pa.array(only, pa.bool_()), *cols[4:]], ["k", "u", "h", "p", "d", "o", "x", "y"])
 
     kit.split_rows(pages, 512)
-    found = rows.mapInArrow(cut, f"k {kind}, u {url_kind}, h string, p string, d string, x array<string>, y binary")
-    found = found.repartition(kit.partitions(pages), "d").sortWithinPartitions("h", "p", "u", "k")
+    found = rows.mapInArrow(cut, f"k {kind}, u {url_kind}, h string, p string, d int, o boolean, x array<string>, y binary")
+    found = found.repartition(parts, "d").sortWithinPartitions("d", "h", "p", "u", "k")
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows_of() -> Iterator[tuple]:
             for batch in batches:
                 k, u, h = batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()
-                x, y = batch.column(5).to_pylist(), batch.column(6).to_pylist()
+                d, only = batch.column(4).to_pylist(), batch.column(5).to_pylist()
+                x, y = batch.column(6).to_pylist(), batch.column(7).to_pylist()
                 for i in range(batch.num_rows):
-                    yield k[i], u[i], h[i], [(t, b & 1, b > 1) for t, b in zip(x[i], y[i], strict=True)]
+                    yield k[i], u[i], h[i], [(t, b & 1, b > 1) for t, b in zip(x[i], y[i], strict=True)], d[i], only[i]
 
         def results() -> Iterator[tuple]:
             before, now = None, None
             for after in _with_end(rows_of()):
-                if now is not None:
-                    near = [o[3] for o in (before, after) if o is not None and now[2] and o[2] == now[2]]
+                if now is not None and not now[5]:
+                    near = [o[3] for o in (before, after) if o is not None and now[2] and o[2] == now[2] and o[4] == now[4]]
                     yield now[0], now[1], extract(now[3], near)
                 before, now = now, after
 
@@ -219,6 +235,11 @@ def extract_pages(pages: DataFrame, key: str = "page_id", url: str = "url", sour
     return result.withColumnsRenamed({"k": key, "u": url})
 
 
+def _place(h: str, p: str, u: str | None, k) -> tuple:
+    """A page's place in the order of all pages, as Spark sorts: nulls first."""
+    return h, p, u is not None, u or "", k is not None, k if k is not None else 0
+
+
 def _with_end(rows: Iterator[tuple]) -> Iterator[tuple | None]:
     yield from rows
     yield None

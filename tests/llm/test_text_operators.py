@@ -168,6 +168,27 @@ def test_pages():
     assert pages.extract(pages.blocks(""), []) == ""
 
 
+def test_every_page_meets_its_nearest_neighbours_of_the_host(spark):
+    """Pages with a first directory each, against extract() over the sorted host, at several partition counts."""
+    html = lambda i: f"<div>site {i // 2}</div><div>site {(i + 1) // 2}</div><p>text that page number {i} alone has</p>"
+    rows = [(i, f"http://{host}/title-{i:02d}/", html(i)) for host in ("a.org", "b.org") for i in range(20)]
+    rows = [(n, u, t) for n, (_, u, t) in enumerate(rows)] + [(90, None, html(0)), (None, None, html(0)), (3, "http://a.org/title-03/", html(3))]
+    order = sorted((r for r in rows if r[1]), key=lambda r: r[1:])
+    found = [pages.blocks(t) for *_, t in order]
+    host = [u[:12] for _, u, _ in order]
+    want = [(k, pages.extract(found[i], [found[j] for j in (i - 1, i + 1) if 0 <= j < len(order) and host[j] == host[i]])) for i, (k, *_) in enumerate(order)]
+    want += [(k, pages.extract(pages.blocks(t), [])) for k, u, t in rows if not u]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 4, 13):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            got = [(r.page_id, r.text) for r in pages.extract_pages(df).collect()]
+            assert sorted(got, key=repr) == sorted(want, key=repr)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_line_dedup(spark):
     a, b = "This is a line that stands in many documents, 1.", "this is a line that stands in many documents 2"
     df = spark.createDataFrame([(2, f"{a}\nown words of two here"), (1, f"short\n{b}"), (3, a), (4, None), (5, "")], "doc_id long, text string")
