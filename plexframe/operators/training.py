@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Sample numbers that locate() joins by one key.
+STRETCH = 64
+
+
 def order_channels(df: DataFrame, image: str, unknown: int = 0) -> DataFrame:
     """Adds rank: by marker id, unknown last, ties by original position."""
     last = F.when(F.col("marker_id") == unknown, F.lit((1 << 62))).otherwise(F.col("marker_id"))
@@ -23,8 +27,11 @@ def offsets(entries: DataFrame, ord_: str, count: str) -> DataFrame:
 
 
 def locate(samples: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Entry and local number of global numbers (idx)."""
-    return samples.join(ranges, (F.col("idx") >= F.col("lo")) & (F.col("idx") < F.col("hi"))).withColumn("local", F.col("idx") - F.col("lo"))
+    """Entry and local number of global numbers (idx), joined by the stretch of `STRETCH` numbers that they lie in."""
+    stretch = lambda c: F.floor(c / STRETCH).cast("long")
+    by_stretch = ranges.where("lo < hi").withColumn("_s", F.explode(F.sequence(stretch(F.col("lo")), stretch(F.col("hi") - 1))))
+    inside = (F.col("idx") >= F.col("lo")) & (F.col("idx") < F.col("hi"))
+    return samples.withColumn("_s", stretch(F.col("idx"))).join(by_stretch, "_s").where(inside).drop("_s").withColumn("local", F.col("idx") - F.col("lo"))
 
 
 def normalize_plane(pixels: DataFrame, by: list[str], mode: str = "percentile") -> DataFrame:

@@ -71,9 +71,9 @@ def images_of(spark, sf) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", F.concat("url", F.expr("CASE page_id % 4 WHEN 0 THEN '.ome.tif' WHEN 1 THEN '.ims' WHEN 2 THEN ' A.QPTIFF' ELSE '_ROI01.tiff' END")).alias("path"))
 
 
-def manifest_merge(spark, sf):
+def manifest_merge(spark, sf, which="l_linenumber <= 2 and l_orderkey % 3 = 0"):
     base = table(spark, sf, "orders").select(F.col("o_orderkey").alias("path"), F.col("o_orderkey").alias("ord"), F.lit(0).cast("long").alias("n"))
-    up = table(spark, sf, "lineitem").where("l_linenumber <= 2 and l_orderkey % 3 = 0").select((F.col("l_orderkey") + F.expr("CASE WHEN l_orderkey % 9 = 0 THEN 100000000 ELSE 0 END")).alias("path"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.col("l_partkey").alias("n"))
+    up = table(spark, sf, "lineitem").where(which).select((F.col("l_orderkey") + F.expr("CASE WHEN l_orderkey % 9 = 0 THEN 100000000 ELSE 0 END")).alias("path"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.col("l_partkey").alias("n"))
     up = up.groupBy("path", "ord").agg(F.max("n").alias("n"))
     return M.merge_manifest(base, up, "path", "ord").select("path", "ord", "new", "n")
 
@@ -84,9 +84,9 @@ def profile_overlay(spark, sf):
     return M.apply_profile(given, prof.select("profile", "threshold_percentile", "min_signal"))
 
 
-def integrity_report(spark, sf):
+def integrity_report(spark, sf, which="event_id % 40 = 0"):
     p = page_rows(spark, sf)
-    return M.integrity(p.where("event_type = 'purchase' and event_id % 40 = 0"), p.select("image").distinct())
+    return M.integrity(p.where("event_type = 'purchase'").where(which), p.select("image").distinct())
 
 
 def sample_entries(spark, sf):
@@ -94,6 +94,12 @@ def sample_entries(spark, sf):
     return T.locate(slides(spark, sf).select((F.col("image") * 3 % 500).alias("idx")).distinct(), r).select("idx", "image", "local")
 
 
+def all_entries(spark, sf):
+    """Every global sample number of the table."""
+    r = T.offsets(slides(spark, sf), "image", "n").select("image", "lo", "hi")
+    return T.locate(spark.range(r.agg(F.max("hi")).first()[0] or 0).select(F.col("id").alias("idx")), r).select("idx", "image", "local")
+
+
 def z_projection(spark, sf):
     p = planes(spark, sf).withColumn("z", F.col("channel") % 3)
     return p.groupBy("image", "z", "y", "x").agg(F.max("v").alias("v_max"), F.round(F.avg("v"), 9).alias("v_mean"))
@@ -170,6 +176,8 @@ QUERIES = {
     "qc_semi": lambda s, d: table(s, d, "customer").join(table(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_semi").select("c_custkey"),
     "qc_anti": lambda s, d: table(s, d, "customer").join(table(s, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey"),
     "manifest_merge": manifest_merge, "profile_overlay": profile_overlay, "integrity_report": integrity_report,
+    # these and index_to_entry take parts of the tables, as their SQL does; these take all
+    "manifest_merge_all": lambda s, d: manifest_merge(s, d, "true"), "integrity_report_all": lambda s, d: integrity_report(s, d, "true"), "index_to_entry_all": all_entries,
     "page_groups": lambda s, d: M.page_groups(page_rows(s, d), F.count_if(F.col("event_id") >= 0)),
     "level_choice": lambda s, d: M.choose_level(page_rows(s, d).select("image", "height", "width").distinct(), 700),
     "mag_mpp": lambda s, d: slides(s, d).select("image", M.magnification(F.col("mpp"))[0].alias("mag"), F.round(M.magnification(F.col("mpp"))[1], 9).alias("mpp")),

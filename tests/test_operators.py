@@ -97,3 +97,30 @@ def test_against_duckdb(spark, name):
     rel = con.sql(__spark_entry__.oracle_sql()[name])
     place = [rel.columns.index(c) for c in cols]
     assert sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr) == sorted((tuple(r[i] for i in place) for r in rel.fetchall()), key=repr)
+
+
+def test_whole_tables(spark):
+    """The queries over all of lineitem, all failing events and all sample numbers, against plain loops."""
+    rows = lambda name, *cols: [tuple(r) for r in spark.read.parquet(f"{SF}/{name}.parquet").select(*cols).collect()]
+    queries = __spark_entry__.queries()
+    last = {}
+    for order, number, part in rows("lineitem", "l_orderkey", "l_linenumber", "l_partkey"):
+        path, ord_ = order + (100000000 if order % 9 == 0 else 0), order * 10 + number
+        last.setdefault(path, {})
+        last[path][ord_] = max(part, last[path].get(ord_, part))
+    base = {k for (k,) in rows("orders", "o_orderkey")}
+    want = {(k, k if k in base else min(last[k]), k not in base, last[k][max(last[k])] if k in last else 0) for k in base | set(last)}
+    assert {tuple(r) for r in queries["manifest_merge_all"](spark, SF).collect()} == want
+    events = rows("events", "user_id", "event_type")
+    images, bad = {u % 50 for u, _ in events}, {u % 50 for u, t in events if t == "purchase"}
+    assert tuple(queries["integrity_report_all"](spark, SF).first()) == (len(images), len(images - bad), len(bad))
+    want = [(key, i) for key, size in sorted(rows("part", "p_partkey", "p_size")) for i in range(size % 4)]
+    found = queries["index_to_entry_all"](spark, SF)
+    assert sorted(tuple(r) for r in found.collect()) == [(n, *x) for n, x in enumerate(want)]
+    assert "NestedLoop" not in found._jdf.queryExecution().toString()
+
+
+def test_locate_over_long_and_empty_entries(spark):
+    ranges = spark.createDataFrame([("a", 0, 200), ("b", 200, 200), ("c", 200, 201), ("d", 201, 300)], "image string, lo long, hi long")
+    got = {r.idx: (r.image, r.local) for r in T.locate(spark.range(310).withColumnRenamed("id", "idx"), ranges).collect()}
+    assert got == {i: ("a", i) if i < 200 else ("c", 0) if i == 200 else ("d", i - 201) for i in range(300)}
