@@ -42,7 +42,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [(f.__name__, f) for f in (quality_rules, line_dedup, ngram_jaccard_join, source_mix, best_fit_packing)]
 
-#: Near-duplicate groups, fuzzy lines and packing are iterative or need a tokenizer: tested against brute force instead.
+#: Near-duplicate groups, fuzzy lines and packing are iterative or need a tokenizer: the operators are tested against brute force instead, the pipeline as a whole is not.
 ORACLE_SQL = None
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from plexframe.llm import counting, jaccard, kit, lines, mixing, packing, pages, quality, search, shards, suffix_tree
+from plexframe.llm import candidates, counting, jaccard, kit, lines, mixing, packing, pages, quality, search, shards, suffix_tree
 from plexframe.llm.encode import Encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -91,6 +91,64 @@ def test_suffix_tree_base(spark, docs):
         assert r.base_score == pytest.approx(sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w))
 
 
+def test_suffix_tree_score(spark):
+    """The definition in plain Python, over a corpus in which counts of two and more are listed."""
+    rnd = random.Random(7)
+    vocab = [f"w{i}" for i in range(25)]
+    texts = [" ".join(rnd.choice(vocab[: rnd.choice((3, 8, 25))]) for _ in range(rnd.randint(0, 60))) + (f" only{i}" if i % 5 == 0 else "") for i in range(80)]
+    toks = [[*t.split(), None] for t in texts]
+    train = [t for i, t in enumerate(toks) if zlib.crc32(str(i).encode()) % 7 != 2]
+    c = Counter(w for t in train for w in t)
+    n, v = sum(c.values()), len(c)
+    root = lambda w: (c[w] + 1) / (n + v + 1)
+    one = Counter(x for t in train for x in zip(t, t[1:]) if min(c[x[0]], c[x[1]]) > 1)
+    one = {x: k for x, k in one.items() if k > 1}
+    two = Counter(x for t in train for x in zip(t, t[1:], t[2:]) if x[:2] in one and x[1:] in one)
+    two = {x: k for x, k in two.items() if k > 1}
+
+    def states(entries, times, lower):
+        by, out = {}, {}
+        for x, k in entries.items():
+            by.setdefault(x[:-1], {})[x[-1]] = k
+        for context, after in by.items():
+            all_ = times(context)
+            p = {w: (k - 0.6) / all_ for w, k in after.items()}
+            low = {w: lower(context, w) for w in after}
+            rest, below, gone = (max(1 - sum(z), 1e-9) for z in (p.values(), low.values(), [k / all_ for k in after.values()]))
+            if sum(k / all_ * math.log2(k / all_ / low[w]) for w, k in after.items()) + gone * math.log2(gone / below) >= 0.02:
+                out[context] = p, rest / below
+        return out
+
+    first = states(one, lambda x: c[x[0]], lambda _, w: root(w))
+
+    def short(word, w):
+        p, rest = first.get((word,), ({}, 1.0))
+        return p[w] if w in p else rest * root(w)
+
+    second = states(two, lambda x: one[x], lambda x, w: short(x[1], w))
+
+    def chance(t, i):
+        p = short(t[i - 1], t[i]) if i else root(t[i])
+        found, rest = second.get(tuple(t[i - 2 : i]) if i > 1 else (), ({}, 1.0))
+        return found[t[i]] if t[i] in found else rest * p
+
+    assert first and second
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for r in suffix_tree.score(df).collect():
+        t = toks[r.doc_id]
+        assert r.score == pytest.approx(sum(math.log10(chance(t, i)) for i in range(len(t))))
+
+
+def test_more_than_16_items_under_a_key(spark):
+    """Items that the first one isn't linked to are joined in the second round."""
+    key, item = np.full(40, 5, np.uint64), np.arange(1, 41, dtype=np.uint64)
+    body = [b for _, b in kit.blocks(np.zeros(40, np.int64), [key, item, np.full(40, 10, np.uint32)], 1)]
+    found = candidates.pair_up(pa.table({"payload": pa.array(body, pa.binary())}), 85)
+    rows = spark.createDataFrame([tuple(r.values()) for r in found.to_pylist()], "kind long, a long, b long, n long")
+    got = {r.id: r.root for r in candidates.groups(rows, lambda p: p.where("a % 4 = b % 4").select("a", "b"), 85).collect()}
+    assert len(got) == 40 and {frozenset(i for i in got if got[i] == r) for r in got.values()} == {frozenset(range(k, 41, 4)) for k in range(1, 5)}
+
+
 def test_targets(spark):
     sizes = {"a": 10, "b": 1000, "c": 0, "d": 500, None: 5}
     df = spark.createDataFrame([(k, 1, v) for k, v in sizes.items()], "source string, rows long, source_size long")
