@@ -29,6 +29,9 @@ MOST_PIECES = 3_000_000
 #: The byte values that stand for themselves in a byte-level vocabulary.
 _PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
+#: Bytes of a piece that may be remembered by its hash; texts with longer ones go to the library.
+MOST_BYTES = 64
+
 _SPACE, _FEED, _LETTER, _DIGIT, _SIGN, _BAD = range(6)
 
 
@@ -192,6 +195,7 @@ class Encoder:
         if plain.any():
             start, end = self._pieces(s, c)
             of = s.row_of(start)
+            plain[of[end - start > MOST_BYTES]] = False
             if not plain.all():
                 ok = plain[of]
                 start, end, of = start[ok], end[ok], of[ok]

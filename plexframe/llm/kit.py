@@ -3,7 +3,7 @@
 Words are maximal runs of bytes outside ``[\\x20\\x09-\\x0D]``. UTF-8 never uses those bytes inside a
 longer character, so words, lines and code points can all be found on the raw Arrow buffer with numpy,
 without making a Python string for each of them. Equality of words, lines and shingles is equality of
-64-bit hashes; at 10**9 distinct values the chance that any two collide is about 3 %, and one collision
+64-bit hashes; among 10**9 distinct values the chance that any two collide is about 3 %, and one collision
 changes one word count by one.
 """
 
@@ -30,9 +30,11 @@ SLICE_BYTES = 1 << 20
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which driver and executors share; removed at exit."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="plexframe-")
+    if not base and spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        base = tempfile.mkdtemp(prefix="plexframe-")  # driver and executors are one process
         spark.sparkContext.setCheckpointDir(base)
+    if not base:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     path = f"{base.rstrip('/')}/plexframe-{name}-{uuid.uuid4().hex[:12]}"
     atexit.register(remove, spark, path)
     return path
@@ -47,11 +49,23 @@ def remove(spark: SparkSession, path: str) -> None:
         return
 
 
+#: Shuffle files of a table that is written go when it is there, not when the driver happens to collect its garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Writes df to a scratch table and reads it back: lineage ends there, and lost executors cost nothing."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
@@ -66,11 +80,12 @@ def records(table: pa.Table | pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 # ---------------------------------------------------------------- text buffers
 
 
-_rng = np.random.default_rng(20240229)
-#: A random odd-ish 64-bit number for each byte value, and the base of the rolling hash.
-BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Multiplier of combined hashes.
 BASE = np.uint64(0x9E3779B97F4A7C15)
-BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+#: Bytes that are hashed as one piece; masks of the last, partial word of a piece; second lane's constant.
+_PIECE = 128
+_MASK = np.array([0, *((1 << 8 * k) - 1 for k in range(1, 8)), (1 << 64) - 1], np.uint64)
+_LANE = np.uint64(0xD6E8FEB86659FD93)
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 LOWER = np.arange(256, dtype=np.uint8)
@@ -114,7 +129,7 @@ class Spans:
 
     def __init__(self, data: np.ndarray, off: np.ndarray, i: int, j: int):
         self.data, self.off, self.rows = data[off[i] : off[j]], off[i : j + 1] - off[i], j - i
-        self._sums: tuple[np.ndarray, np.ndarray] | None = None
+        self._padded: tuple[bool, np.ndarray] | None = None
 
     def row_of(self, start: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.off, start, "right") - 1
@@ -147,20 +162,43 @@ class Spans:
         return start, end, row
 
     def hashes(self, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
-        """64-bit hashes of the bytes of each range; lower: as if A-Z were a-z."""
-        if self._sums is None or self._lower != lower:
-            n = len(self.data)
-            power = np.full(n + 1, BASE, np.uint64)
-            power[0] = 1
-            np.cumprod(power, out=power)
-            sums = np.zeros(n + 1, np.uint64)
-            np.cumsum(BYTE[LOWER[self.data] if lower else self.data] * power[:n], out=sums[1:])
-            back = np.full(n + 1, BASE_INVERSE, np.uint64)
-            back[0] = 1
-            np.cumprod(back, out=back)
-            self._sums, self._lower = (sums, back), lower
-        sums, back = self._sums
-        return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+        """64-bit hashes of the bytes of each range; lower: as if A-Z were a-z.
+
+        Ranges are cut into pieces of 128 bytes. A piece is read eight bytes at a time into two lanes that are mixed at
+        each step, so strings of a regular build, which collide under polynomials modulo 2**64, don't collide here."""
+        if self._padded is None or self._padded[0] != lower:
+            padded = np.zeros(len(self.data) + 8, np.uint8)
+            padded[: len(self.data)] = LOWER[self.data] if lower else self.data
+            self._padded = lower, np.ndarray((len(self.data) + 1,), "<u8", padded.data, strides=(1,))
+        words, size = self._padded[1], end - start
+        if not len(size):
+            return np.zeros(0, np.uint64)
+        if int(size.max()) <= _PIECE:
+            out = self._pieces(words, start, size)
+        else:
+            pieces = np.maximum(1, -(-size // _PIECE))
+            nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            at = np.repeat(start, pieces) + _PIECE * nth
+            h = self._pieces(words, at, np.minimum(_PIECE, np.repeat(end, pieces) - at))
+            out = np.add.reduceat(mix(h ^ mix(nth.astype(np.uint64)) if len(h) else h), np.cumsum(pieces) - pieces)
+            out = np.where(pieces == 1, h[np.cumsum(pieces) - pieces], out)
+        return mix(out ^ mix(size.astype(np.uint64)))
+
+    @staticmethod
+    def _pieces(words: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        one, two = np.zeros(len(size), np.uint64), np.full(len(size), _LANE)
+        live, k = np.arange(len(size)), 0
+        while len(live):
+            left = size[live] - k
+            if k:
+                live, left = live[left > 0], left[left > 0]
+                if not len(live):
+                    break
+            x = words[start[live] + np.where(left > 0, k, 0)] & _MASK[np.clip(left, 0, 8)]
+            one[live] = mix(one[live] ^ x)
+            two[live] = (two[live] + x) * BASE ^ (two[live] >> np.uint64(29))
+            k += 8
+        return one + mix(two)
 
 
 def windows(h: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -231,6 +269,33 @@ def block_reduce(df: DataFrame, reduce: Callable[[pa.Table], pa.Table], schema:
     return df.groupBy("part").applyInArrow(reduce, schema)
 
 
+def by_group(df: DataFrame, by: list[str], work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """work() on the rows of each group, many small groups to a task; rows come sorted by `by`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            t = pa.Table.from_batches([batch])
+            keys = [t.column(c).to_numpy() for c in by]
+            new = np.zeros(len(t), bool)
+            for c, k in zip(by, keys, strict=True):
+                new[1:] |= k[1:] != k[:-1]
+                new[0] |= bool(held) and held[-1].column(c)[-1].as_py() != k[0]
+            cut = np.flatnonzero(new)
+            for a, b in zip([0, *cut], [*cut, len(t)], strict=True):
+                if new[a] and held:
+                    yield from records(work(pa.concat_tables(held)))
+                    held = []
+                if b > a:
+                    held.append(t.slice(a, b - a))
+        if held:
+            yield from records(work(pa.concat_tables(held)))
+
+    return df.repartition(partitions(df), *by).sortWithinPartitions(*by).mapInArrow(run, schema)
+
+
 # ---------------------------------------------------------------- documents
 
 
@@ -287,6 +352,16 @@ class Filter:
         return out
 
 
+def may_hold(some) -> Callable[[F.Column], F.Column]:
+    """A column function that asks a broadcast Filter about a column of 64-bit hashes; other columns stay out of Python."""
+
+    @F.arrow_udf("boolean")
+    def ask(h: pa.Array) -> pa.Array:
+        return pa.array(some.value.may_hold(h.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return ask
+
+
 def build_filter(ids: DataFrame, name: str, count: int) -> Filter:
     """A Filter of a column of hashes; partial filters are united on the executors, chunk by chunk."""
     size = min(max(1 << int(np.ceil(np.log2(12 * max(count, 1)))), FILTER_BITS[0]), FILTER_BITS[1])
