@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that are spelled out first.
@@ -102,18 +102,55 @@ def registry_keys(markers: DataFrame) -> DataFrame:
 
 
 def append_auto(markers: DataFrame, auto: DataFrame) -> DataFrame:
-    """(marker_id, name) of automatic entries (ord, name) whose key is new: ids go on from the largest one."""
-    keyed = normalize_labels(auto, "name", "_l").withColumn("key", key_of(F.col("_l"))).where("key <> ''")
-    fresh = keyed.join(F.broadcast(registry_keys(markers)), "key", "left_anti").groupBy("key").agg(F.min_by("name", "ord").alias("name"), F.min("ord").alias("ord"))
-    top = markers.agg(F.max("marker_id").alias("top"))
-    return fresh.crossJoin(F.broadcast(top)).select((F.col("top") + F.row_number().over(Window.orderBy("ord"))).alias("marker_id"), "name")  # one row of `top`
+    """The registry (marker_id, name, aliases, ord) with automatic entries (ord, name, aliases array) whose key is new: ids go on from the largest one.
+
+    An entry is left out if its key is known, from the registry or from the name or an alias of an earlier entry that is kept.
+    A registry has a few hundred entries, so they are walked in order on the driver."""
+    rows = normalize_labels(auto.select("ord", "name", F.posexplode(F.concat(F.array("name"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("pos", "label"), "aliases"), "label", "label")
+    rows = rows.withColumn("key", key_of(F.col("label"))).orderBy("ord", "pos").collect()
+    known, top = {r.key for r in registry_keys(markers).collect()}, markers.agg(F.max("marker_id")).first()[0]
+    fresh, next_id, taken = [], (-1 if top is None else top) + 1, False
+    for r in rows:
+        if r.pos == 0:
+            taken = bool(r.key) and r.key not in known
+            if taken:
+                fresh.append((next_id, r.name, list(r.aliases or []), (1 << 30) + r.ord))
+                next_id += 1
+        if taken and r.key:
+            known.add(r.key)
+    new = markers.sparkSession.createDataFrame(fresh, "marker_id int, name string, aliases array<string>, ord int")
+    return markers.select("marker_id", "name", "aliases", "ord").unionByName(new)
 
 
 def lookup_markers(df: DataFrame, raw: str, keys: DataFrame, unknown: int = 0) -> DataFrame:
-    """Adds marker and marker_id; keys is a registry's table of at most a few hundred rows."""
-    df = normalize_labels(df, raw, "marker").withColumn("_key", key_of(F.col("marker")))
-    found = df.join(F.broadcast(keys.select(F.col("key").alias("_k2"), F.col("marker_id").alias("_id"))), F.col("_key") == F.col("_k2"), "left")
-    return found.withColumn("marker_id", F.coalesce("_id", F.lit(unknown))).drop("_key", "_k2", "_id")
+    """Adds marker and marker_id; keys is a registry's table of at most a few hundred rows.
+
+    Distinct labels are normalised once and joined back. A label that isn't found is looked up again without signs but - and /."""
+    names = df.select(F.col(raw).alias("_raw")).distinct()
+    names = normalize_labels(names, "_raw", "marker").withColumn("_key", key_of(F.col("marker")))
+    again = normalize_labels(names.withColumn("_c", F.regexp_replace("marker", "[^A-Za-z0-9/-]+", "")), "_c", "_again").withColumn("_key2", key_of(F.col("_again")))
+    ids = lambda key, name: F.broadcast(keys.select(F.col("key").alias(key), F.col("marker_id").alias(name)))
+    found = again.join(ids("_k1", "_id1"), (F.col("_key") == F.col("_k1")) & (F.col("_key") != ""), "left").join(ids("_k2", "_id2"), (F.col("_key2") == F.col("_k2")) & (F.col("_key") != ""), "left")
+    found = found.select("_raw", "marker", F.coalesce("_id1", "_id2", F.lit(unknown)).alias("marker_id"))
+    return df.join(found, F.col(raw).eqNullSafe(F.col("_raw"))).drop("_raw")
+
+
+def marker_names(df: DataFrame, registry: DataFrame, id_: str = "marker_id", out: str = "marker_name") -> DataFrame:
+    """Adds the name of each id, Unknown for ids that the registry doesn't have; of entries with one id the last is right."""
+    names = registry.groupBy("marker_id").agg(F.max_by("name", "ord").alias("_name")).withColumnRenamed("marker_id", "_id")
+    return df.join(F.broadcast(names), F.col(id_) == F.col("_id"), "left").withColumn(out, F.coalesce("_name", F.lit("Unknown"))).drop("_id", "_name")
+
+
+def read_registry(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, int, int]:
+    """(markers, automatic entries, unknown id, blank id) of a registry file; automatic entries are names or objects."""
+    schema = "unknown_marker_id int, blank_marker_id int, markers array<struct<id: int, name: string, aliases: array<string>>>, auto_markers array<string>"
+    x = spark.read.option("multiLine", True).schema(schema).json(path)
+    ids = x.select(F.coalesce("unknown_marker_id", F.lit(0)), F.coalesce("blank_marker_id", F.lit(1))).first()
+    none = F.array().cast("array<string>")
+    markers = x.select(F.posexplode("markers").alias("ord", "m")).select(F.col("m.id").alias("marker_id"), F.col("m.name").alias("name"), F.coalesce("m.aliases", none).alias("aliases"), "ord")
+    row = F.from_json("a", "name string, aliases array<string>")
+    auto = x.select(F.posexplode("auto_markers").alias("ord", "a")).select("ord", F.coalesce(F.when(F.col("a").startswith("{"), row["name"]), F.col("a")).alias("name"), F.coalesce(F.when(F.col("a").startswith("{"), row["aliases"]), none).alias("aliases"))
+    return markers, auto, ids[0], ids[1]
 
 
 def file_name(path: Column) -> Column:

@@ -46,14 +46,15 @@ lab AS (SELECT image, y, x, CAST(min(label) AS BIGINT) AS label FROM reach GROUP
 st AS (SELECT image, label, min(x) AS x0, min(y) AS y0, max(x)-min(x)+1 AS w, max(y)-min(y)+1 AS h, count(*) AS area FROM lab GROUP BY image, label)"""
 
 
-_EDGE = "(x0 {0} {1} OR y0 {0} {1} OR 8-x0-w {0} {1} OR 8-y0-h {0} {1})"
+# a margin of 15 % of 8 pixels is 1 pixel, area limits are rounded half to even and 1 at least
+_NEAR = "(x0 < 1 OR y0 < 1 OR 8-x0-w < 1 OR 8-y0-h < 1)"
 _KEEP = {
     "min_area": "area >= 3",
-    "frame": f"NOT ((w >= 5.2 OR h >= 5.2) AND {_EDGE.format('<=', '0')} AND area <= 0.30*w*h)",
-    "strip": f"NOT ({_EDGE.format('<=', '1.2')} AND ((h <= 1.28 AND w >= 2) OR (w <= 1.28 AND h >= 2)))",
-    "small_edge": f"NOT ({_EDGE.format('<', '1.2')} AND area < 3)",
-    "sparse": f"NOT ({_EDGE.format('<', '1.2')} AND area <= 9.6 AND area <= 0.35*w*h)",
-    "thin": "NOT (least(w,h) <= 1.0 AND greatest(w,h) >= 5*least(w,h) AND area <= 5.12)",
+    "frame": "NOT ((w/8.0 >= 0.65 OR h/8.0 >= 0.65) AND (x0 <= 2 OR y0 <= 2 OR x0+w >= 6 OR y0+h >= 6) AND CAST(area AS DOUBLE)/(w*h) <= 0.30)",
+    "strip": "NOT (((y0 <= 1 OR y0+h >= 7) AND h/8.0 <= 0.16 AND w/8.0 >= 0.25) OR ((x0 <= 1 OR x0+w >= 7) AND w/8.0 <= 0.16 AND h/8.0 >= 0.25))",
+    "small_edge": f"NOT (area < 3 AND {_NEAR})",
+    "sparse": f"NOT ({_NEAR} AND area <= 10 AND CAST(area AS DOUBLE)/(w*h) <= 0.35)",
+    "thin": "NOT (least(w,h) <= 1 AND greatest(w,h) >= 5*least(w,h) AND area <= 1)",
 }
 
 _N = "CAST(p_size AS VARCHAR)"

@@ -72,6 +72,7 @@ def images_of(spark, sf) -> DataFrame:
 
 
 def manifest_merge(spark, sf, which="l_linenumber <= 2 and l_orderkey % 3 = 0"):
+    """Updates are a part of lineitem, as its SQL has it; manifest_merge_all takes the whole table."""
     base = table(spark, sf, "orders").select(F.col("o_orderkey").alias("path"), F.col("o_orderkey").alias("ord"), F.lit(0).cast("long").alias("n"))
     up = table(spark, sf, "lineitem").where(which).select((F.col("l_orderkey") + F.expr("CASE WHEN l_orderkey % 9 = 0 THEN 100000000 ELSE 0 END")).alias("path"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ord"), F.col("l_partkey").alias("n"))
     up = up.groupBy("path", "ord").agg(F.max("n").alias("n"))
@@ -79,12 +80,13 @@ def manifest_merge(spark, sf, which="l_linenumber <= 2 and l_orderkey % 3 = 0"):
 
 
 def profile_overlay(spark, sf):
-    prof = spark.createDataFrame([(k, *v) for k, v in sorted(M.PROFILES.items())], "profile string, threshold_percentile double, min_signal double, close_radius int, open_radius int, dilate_radius int, min_component_area_fraction double")
+    prof = M.profile_table(spark)
     given = table(spark, sf, "part").select("p_partkey", F.expr("CASE p_partkey % 3 WHEN 0 THEN 'fluorescence-artifact-strict' WHEN 1 THEN 'fluorescence-recall' ELSE 'none' END").alias("profile"), F.expr("CASE WHEN p_size > 25 THEN 55.0D END").alias("threshold_percentile"), F.expr("CAST(NULL AS DOUBLE)").alias("min_signal"))
     return M.apply_profile(given, prof.select("profile", "threshold_percentile", "min_signal"))
 
 
 def integrity_report(spark, sf, which="event_id % 40 = 0"):
+    """Issues are a part of the purchases, as its SQL has it; integrity_report_all takes all."""
     p = page_rows(spark, sf)
     return M.integrity(p.where("event_type = 'purchase'").where(which), p.select("image").distinct())
 
