@@ -2,13 +2,14 @@
 
 Items that share a key are candidates. Up to `ALL_PAIRS` items under a key are paired with each other.
 More are each paired with the first of them, which joins large groups of copies without writing their
-pairs; then, under keys whose items are still in several components, all pairs between different
-components are verified too. So no link between two items is lost, and components are exact.
+pairs. Then, of keys whose items are still in several components, the items meet in tasks, in tiles of
+`TILE` by `TILE` items, and all pairs between different components are looked at there; only what passes
+an exact bound, or is a link, is written. So no link between two items is lost, and components are exact.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,24 +17,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
-from plexframe.llm.components import components
+from plexframe.llm.components import components, merged
 
-ALL_PAIRS = 16
+ALL_PAIRS = 4
+#: Items on a side of a tile.
+TILE = 1024
+#: Entries that pair_up() takes, if it isn't told other types: key within the part, item, size.
+ENTRY = ["u4", "u8", "u4"]
 
+#: What apart() gets: items of a key with their components and payloads, tile by tile.
+MET = "key long, i int, j int, chunk int, id long, n long, root long, body binary"
+#: Looks at the items of one tile (n, root, chunk, bodies): places (a, b) of pairs to hand on.
+Look = Callable[[np.ndarray, np.ndarray, np.ndarray, list], tuple[np.ndarray, np.ndarray]]
 
 
-def pair_up(table: pa.Table, percent: int, most: int = ALL_PAIRS) -> pa.Table:
-    """Candidate pairs of one part of the blocks of (key, item, size); kind 1: entries of keys with more than `most` items.
+def pair_up(table: pa.Table, percent: int, entry: list[str] = ENTRY, most: int = ALL_PAIRS) -> pa.Table:
+    """Candidate pairs of one part of the blocks of ENTRY; kind 1: entries of keys with more than `most` items.
 
-    Items whose sizes differ too much for the similarity are not paired."""
-    x = np.unique(kit.unblock(table, ["u8", "u8", "u4"]))
-    key, sid, n = x["f0"], x["f1"], x["f2"].astype(np.int64)
-    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    Items whose sizes differ too much for the similarity are not paired. Of hot keys that the same items share, one is enough."""
+    x = kit.unblock(table, entry)
+    part = int(table.column("part")[0].as_py()) if len(table) else 0
+    order = np.argsort(x["f0"].astype(np.uint64) << np.uint64(32) | x["f1"] >> np.uint64(32))
+    key = x["f0"][order]
+    again = np.zeros(len(key), bool)
+    again[1:] = key[1:] == key[:-1]
+    again[:-1] |= again[1:]  # keys of one entry pair nothing
+    order, key = order[again], key[again]
+    sid, n = x["f1"][order], x["f2"][order].astype(np.int64)
+    order = np.lexsort((sid, key))
+    key, sid, n = key[order], sid[order], n[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (sid[1:] != sid[:-1])
+    key, sid, n = key[new], sid[new], n[new]
+    cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
     size = np.diff(np.append(cut, len(key)))
     a, b = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
 
     def add(i: np.ndarray, j: np.ndarray) -> None:
-        fine = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        fine = (100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])) & (sid[i] != sid[j])
         a.append(sid[i[fine]]), b.append(sid[j[fine]])
 
     for k in range(2, most + 1):
@@ -42,45 +63,111 @@ def pair_up(table: pa.Table, percent: int, most: int = ALL_PAIRS) -> pa.Table:
             for j in range(i + 1, k):
                 if len(at):
                     add(at + i, at + j)
-    hot = [np.zeros(0, np.int64)]
-    for at, k in zip(cut[size > most], size[size > most], strict=True):
-        rest = np.arange(at, at + k)
-        hot.append(rest)
-        add(np.full(k - 1, at), rest[1:])
+    at, k = cut[size > most], size[size > most]
+    if len(at):
+        sums = np.zeros(len(sid) + 1, np.uint64)
+        np.cumsum(kit.mix(sid), out=sums[1:])
+        _, first = np.unique(np.stack([sums[at + k] - sums[at], k.astype(np.uint64)], 1), axis=0, return_index=True)
+        at, k = at[first], k[first]
+    hot = np.repeat(at - (np.cumsum(k) - k), k) + np.arange(k.sum())
+    add(np.repeat(at, k), hot)
     pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0) if sum(map(len, a)) else np.zeros((0, 2), np.uint64)
-    h = np.concatenate(hot)
     none = np.zeros(len(pairs), np.int64)
     return pa.table({
-        "kind": pa.array(np.concatenate([none, np.ones(len(h), np.int64)])),
-        "a": pa.array(np.concatenate([pairs[:, 0], key[h]]).view(np.int64)),
-        "b": pa.array(np.concatenate([pairs[:, 1], sid[h]]).view(np.int64)),
-        "n": pa.array(np.concatenate([none, n[h]])),
+        "kind": pa.array(np.concatenate([none, np.ones(len(hot), np.int64)])),
+        "a": pa.array(np.concatenate([pairs[:, 0].view(np.int64), (part << 32) + key[hot].astype(np.int64)])),
+        "b": pa.array(np.concatenate([pairs[:, 1], sid[hot]]).view(np.int64)),
+        "n": pa.array(np.concatenate([none, n[hot]])),
     })
 
 
-def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
-    """(id, root) of all items that pair_up()'s rows and verify(pairs (a, b)) link to another."""
+PAIRED = "kind long, a long, b long, n long"
+
+
+def entries(key: np.ndarray, item: np.ndarray, n: np.ndarray, parts: int, entry: list[str] = ENTRY) -> pa.RecordBatch:
+    """Blocks for pair_up(): a key's upper bits choose its part, its lower ones stay."""
+    part = ((key >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+    return kit.block_batch(list(kit.blocks(part, [(key & np.uint64(0xFFFFFFFF)).astype(np.uint32), item, n.astype(entry[2])], parts)))
+
+
+def _still_apart(hot: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
+    """(key, id, n, root, m: items of the key) of keys whose items are in several components; of keys that the same items share, one is enough."""
+    label = labels.select(F.col("id").alias("l"), "root")
+    named = hot.join(label, F.col("id") == F.col("l"), "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
+    named, path = kit.keep(named, "named")
+    sums = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("m"), F.min("id").alias("least"))
+    one = sums.where("x <> y").groupBy("sum", "m", "least").agg(F.min("key").alias("k")).select("k", "m")
+    return named.join(one, F.col("key") == F.col("k")).select("key", "id", "n", "root", "m"), path
+
+
+def _meet(still: DataFrame, bodies: DataFrame, look: Look) -> DataFrame:
+    """Pairs (a, b) that look() hands on; bodies: (id, body) of all items."""
+    body = bodies.select(F.col("id").alias("l"), F.col("body").cast("binary").alias("body"))
+    chunks = F.ceil(F.col("m") / F.lit(TILE)).cast("int")
+    rows = still.withColumn("c", chunks).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("c")).cast("int"))
+    rows = rows.join(body, F.col("id") == F.col("l")).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
+    rows = rows.select("key", F.least("chunk", "t").alias("i"), F.greatest("chunk", "t").alias("j"), "chunk", "id", "n", "root", "body")
+
+    seen: set[tuple[int, int]] = set()  # a task's own
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, n, root, chunk = (table.column(c).to_numpy() for c in ("id", "n", "root", "chunk"))
+        a, b = look(n, root, chunk, table.column("body").to_pylist())
+        new = [p for p in zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist(), strict=True) if p not in seen]
+        seen.update(new)  # two items may meet under many keys
+        return pa.table({"a": pa.array([x for x, _ in new], pa.int64()), "b": pa.array([y for _, y in new], pa.int64())})
+
+    return kit.by_group(rows, ["key", "i", "j"], run, "a long, b long")
+
+
+def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: Callable[[DataFrame], DataFrame], rounds: list[tuple[Look, bool]]) -> DataFrame:
+    """(id, root) of all items that pair_up()'s rows link to another.
+
+    verify(pairs) gives the links among pairs (a, b), bodies(ids) a table (id, body) of items; rounds has looks at what is
+    still apart, and whether the pairs that they hand on are links already."""
     spark = found.sparkSession
     pairs, pairs_path = kit.keep(found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
-    links = verify(pairs)
-    labels = components(links)
+    labels = components(verify(pairs))
     hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
-    if not hot.isEmpty():
-        label = labels.withColumnRenamed("id", "l")
-        named = hot.join(label, F.col("id") == F.col("l"), "left").select("key", "id", "n", F.coalesce("root", "id").alias("root"))
-        named, named_path = kit.keep(named, "named")
-        apart = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("key")
-        still = named.join(apart, "key")
-        # of keys that the same items share, as those of one group of copies do, one is enough
-        same = still.groupBy("key").agg(F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("sum"), F.count("*").alias("count"), F.min("id").alias("least"))
-        still = still.join(same.groupBy("sum", "count", "least").agg(F.min("key").alias("key")).select("key"), "key", "left_semi")
-        p, q = (still.select("key", *(F.col(c).alias(f"{c}_{side}") for c in ("id", "n", "root"))) for side in "ab")
-        close = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (F.col("id_a") < F.col("id_b")) & (F.col("root_a") != F.col("root_b"))
-        more = p.join(q, "key").where(close).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-        more, more_path = kit.keep(more.join(pairs, ["a", "b"], "left_anti"), "more")
+    seen, paths, body = pairs, [pairs_path], None
+    for look, links in () if hot.isEmpty() else rounds:
+        still, path = _still_apart(hot, labels)
+        still, still_path = kit.keep(still, "apart")
+        kit.remove(spark, path)
+        if still.isEmpty():
+            kit.remove(spark, still_path)
+            break
+        body = body or bodies(still.select("id"))
+        more, path = kit.keep(_meet(still, body, look).distinct().join(seen, ["a", "b"], "left_anti"), "more")
+        kit.remove(spark, still_path)
+        paths.append(path)
+        seen = seen.union(more)
         if not more.isEmpty():
-            labels = components(links.union(verify(more)))
-        for path in (named_path, more_path):
-            kit.remove(spark, path)
-    kit.remove(spark, pairs_path)
+            labels = merged(labels, more if links else verify(more))
+    for path in paths:
+        kit.remove(spark, path)
     return labels
+
+
+def apart(n: np.ndarray, root: np.ndarray, chunk: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(a, places b) of pairs in a tile of near enough size and different components; items are given by ascending n."""
+    two = len(chunk) > 0 and chunk.min() != chunk.max()
+    high = np.searchsorted(n, n * 100 // percent, "right")
+    for a in range(len(n)):
+        b = np.arange(a + 1, high[a])
+        b = b[root[b] != root[a]]
+        if two:
+            b = b[chunk[b] != chunk[a]]
+        if len(b):
+            yield a, b
+
+
+def nearest(a: np.ndarray, b: np.ndarray, far: np.ndarray, root: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs (a, b) the `first` nearest of each component."""
+    own, pair = np.concatenate([root[a], root[b]]), np.tile(np.arange(len(a)), 2)
+    by = np.lexsort((far[pair], own))
+    new = np.ones(len(by), bool)
+    new[1:] = own[by][1:] != own[by][:-1]
+    rank = np.arange(len(by)) - np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))
+    kept = np.unique(pair[by[rank < first]])
+    return a[kept], b[kept]

@@ -32,3 +32,16 @@ def components(links: DataFrame) -> DataFrame:
             kit.remove(spark, path)
         old, old_labels = new, new_labels
     return labels
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (id, root) with more links (a, b): what those join is contracted, the rest stays."""
+    known = labels.select(F.col("id").alias("l"), "root")
+    ends = links.select("a", "b").join(known, F.col("a") == F.col("l"), "left").select("a", "b", F.coalesce("root", "a").alias("x"))
+    ends = ends.join(known, F.col("b") == F.col("l"), "left").select("a", "b", "x", F.coalesce("root", "b").alias("y"))
+    ends, path = kit.keep(ends, "ends")
+    joined = components(ends.select(F.col("x").alias("a"), F.col("y").alias("b"))).select(F.col("id").alias("r"), F.col("root").alias("to"))
+    fresh = ends.select(F.col("a").alias("id")).union(ends.select("b")).distinct().join(labels, "id", "left_anti").select("id", F.col("id").alias("root"))
+    out, _ = kit.keep(labels.union(fresh).join(joined, F.col("root") == F.col("r"), "left").select("id", F.coalesce("to", "root").alias("root")), "labels")
+    kit.remove(labels.sparkSession, path)
+    return out

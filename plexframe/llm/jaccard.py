@@ -14,10 +14,10 @@ The class of a token changes the work, never the result. Frequent tokens are tho
 over all documents finds in `FREQUENT` different sets or more, the `CLASS_SIZE` most frequent of them.
 
 Equal sets are one node, however many documents have them. Sets that share a key are candidates: all pairs
-for a few sets, and for more, each with the first; whatever those leave apart is joined in a second
-round, pair by pair, between sets not yet in one component (see candidates.py). Candidates are verified on whole sets, which
-further scans fetch through a filter of bounded size; a first look at a quarter of the tokens of each
-set spares most of those that are not similar.
+for a few sets, and for more, each with the first; whatever those leave apart meets in tiles of a key's sets
+(see candidates.py). Candidates pass by parity sketches first: a set's tokens are hashed to twice as many bits,
+each bit the parity of its tokens, so two sketches never differ in more bits than their sets in tokens. What
+the sketches leave is verified on whole sets, which a further scan fetches through a filter of bounded size.
 
 Defined results: a null or empty text, or one without words, has no tokens and is linked with nothing; a
 text of fewer than five words has the whole sequence as its one token; repeated rows are linked with each
@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
-from plexframe.llm.candidates import groups, pair_up
+from plexframe.llm.candidates import PAIRED, apart, entries, groups, nearest, pair_up
 
 WORDS = 5
 #: Similarity as a whole percentage.
@@ -44,8 +44,8 @@ FREQUENT = 8
 CLASS_SIZE = 1 << 17
 #: Tokens of one task that its lossy count holds before it forgets those seen once.
 LOSSY = 4_000_000
-#: Percentage of the tokens of candidates that is looked at first.
-HEAD = 25
+#: Nearest pairs of each component under a key that are verified, in each of `ROUNDS` rounds, before all that pass are.
+FIRST, ROUNDS = 2, 2
 
 
 # ---------------------------------------------------------------- sets
@@ -82,6 +82,28 @@ def set_ids(token: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.where(n > 0, kit.mix(sums[off[1:]] - sums[off[:-1]] + n * kit.BASE) | np.uint64(1), np.uint64(0))
 
 
+def sketches(token: np.ndarray, off: np.ndarray, rows: list[int]) -> list[bytes]:
+    """Parity sketches of some sets: the power of two of 64-bit words that has two bits for each token or more."""
+    out = []
+    for r in rows:
+        h = kit.mix(token[off[r] : off[r + 1]] ^ np.uint64(0x2545F4914F6CDD1D))
+        bits = 64 << max(0, (2 * len(h) - 1).bit_length() - 6)
+        count = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+        out.append(np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes())
+    return out
+
+
+def may_differ(n: np.ndarray | int, m: np.ndarray | int, percent: int):
+    """Tokens that only one of two sets of n and m tokens has, at most, if they are similar enough."""
+    return (n + m) * (100 - percent) // (100 + percent)
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """Sketches of half the width of the same sets."""
+    half = x.shape[-1] // 2
+    return x[..., :half] ^ x[..., half:]
+
+
 # ---------------------------------------------------------------- keys
 
 
@@ -152,7 +174,7 @@ class _Fresh:
 
 
 def survey(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """Rows (id, n, set) of documents, and rows (token, count) of tokens that a task found in several sets."""
+    """Rows (id, n, set, sketch: where a task sees the set first) of documents, and rows (token, count) of tokens that a task found in several sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh, held, count = _Fresh(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -166,13 +188,16 @@ def survey(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             good = c >= floor
             held[:], count[:] = [t[cut][good]], [c[good]]
 
-        schema = ["id", "n", "set", "token", "count"]
+        schema = ["id", "n", "set", "token", "count", "sketch"]
         for batch in batches:
             n, name = [], []
-            for _, _, token, off in sets(batch.column(1), words):
+            drawn: list[bytes | None] = [None] * batch.num_rows
+            for i, _, token, off in sets(batch.column(1), words):
                 ids = set_ids(token, off)
                 n.append(np.diff(off)), name.append(ids)
                 own = fresh(ids)
+                for r, x in zip(own, sketches(token, off, own), strict=True):
+                    drawn[i + r] = x
                 if own:
                     part = np.concatenate([token[off[r] : off[r + 1]] for r in own])
                     held.append(part), count.append(np.ones(len(part), np.int64))
@@ -181,20 +206,20 @@ def survey(docs: DataFrame, key: str, text: str, words: int) -> DataFrame:
             size = batch.num_rows
             none = pa.nulls(size, pa.int64())
             if size:
-                yield pa.record_batch([batch.column(0), pa.array(np.concatenate(n)), _signed(np.concatenate(name)), none, none], schema)
+                yield pa.record_batch([batch.column(0), pa.array(np.concatenate(n)), _signed(np.concatenate(name)), none, none, pa.array(drawn, pa.binary())], schema)
         merge(3)
         t, c = held[0], count[0]
         if len(t) > CLASS_SIZE:
             top = np.argpartition(-c, CLASS_SIZE)[:CLASS_SIZE]
             t, c = t[top], c[top]
         none = pa.nulls(len(t), pa.int64())
-        yield pa.record_batch([none, none, none, _signed(t), pa.array(c)], schema)
+        yield pa.record_batch([none, none, none, _signed(t), pa.array(c), pa.nulls(len(t), pa.binary())], schema)
 
-    return _rows(docs, key, text).mapInArrow(run, "id long, n long, set long, token long, count long")
+    return _rows(docs, key, text).mapInArrow(run, "id long, n long, set long, token long, count long, sketch binary")
 
 
 def index(docs: DataFrame, key: str, text: str, words: int, percent: int, frequent, parts: int) -> DataFrame:
-    """Blocks of (key, set, n), one of each set and task."""
+    """Blocks of entries (key, set, n), one of each set and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh, common = _Fresh(), frequent.value
@@ -205,14 +230,13 @@ def index(docs: DataFrame, key: str, text: str, words: int, percent: int, freque
                 for r in fresh(ids):
                     own = keys(token[off[r] : off[r + 1]], common, percent)
                     k.append(own), s.append(np.full(len(own), ids[r])), n.append(np.full(len(own), off[r + 1] - off[r], np.uint32))
-            k, s, n = np.concatenate(k), np.concatenate(s), np.concatenate(n)
-            yield kit.block_batch(list(kit.blocks((k % np.uint64(parts)).astype(np.int64), [k, s, n], parts)))
+            yield entries(np.concatenate(k), np.concatenate(s), np.concatenate(n), parts)
 
     return _rows(docs, key, text).mapInArrow(run, kit.BLOCK)
 
 
-def fetch(docs: DataFrame, key: str, text: str, words: int, wanted, head: int) -> DataFrame:
-    """(id, n, tokens) of sets that the filter lets through, one of each set and task; the first `head` percent of their tokens."""
+def fetch(docs: DataFrame, key: str, text: str, words: int, wanted) -> DataFrame:
+    """(id, n, tokens) of sets that the filter lets through, one of each set and task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fresh, some = _Fresh(), wanted.value
@@ -222,8 +246,7 @@ def fetch(docs: DataFrame, key: str, text: str, words: int, wanted, head: int) -
                 ids = set_ids(token, off)
                 ids = np.where(some.may_hold(ids), ids, np.uint64(0))
                 for r in fresh(ids):
-                    n = int(off[r + 1] - off[r])
-                    name.append(ids[r]), size.append(n), body.append(token[off[r] : off[r] + -(-n * head // 100)].tobytes())
+                    name.append(ids[r]), size.append(int(off[r + 1] - off[r])), body.append(token[off[r] : off[r + 1]].tobytes())
             yield pa.record_batch([_signed(np.array(name, np.uint64)), pa.array(size, pa.int64()), pa.array(body, pa.binary())], ["id", "n", "tokens"])
 
     return _rows(docs, key, text).mapInArrow(run, "id long, n long, tokens binary")
@@ -232,49 +255,88 @@ def fetch(docs: DataFrame, key: str, text: str, words: int, wanted, head: int) -
 # ---------------------------------------------------------------- verification
 
 
-def may_be_similar(p: np.ndarray, n: int, q: np.ndarray, m: int, percent: int) -> bool:
-    """Whether sets of n and m tokens that begin with the sorted tokens p and q can be similar enough; exact for whole sets.
-
-    Up to the smaller last token both sets are known, so what they share there is; beyond it they share
-    at most what the one with fewer tokens left has.
-    """
-    if not len(p) or not len(q):
-        return False
-    last = min(p[-1], q[-1])
-    p, q = p[: np.searchsorted(p, last, "right")], q[: np.searchsorted(q, last, "right")]
-    left = min(n - len(p), m - len(q))
+def similar(p: np.ndarray, q: np.ndarray, percent: int) -> bool:
+    """Whether two sets, given as sorted tokens, are similar enough."""
     if len(p) > len(q):
         p, q = q, p
-    both = left + (int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(p) else 0)
-    return (100 + percent) * both >= percent * (n + m)
+    both = int((q[np.minimum(np.searchsorted(q, p), len(q) - 1)] == p).sum()) if len(p) else 0
+    return bool(len(p)) and (100 + percent) * both >= percent * (len(p) + len(q))
+
+
+def close(n: int, x: bytes, m: int, y: bytes, percent: int) -> bool:
+    """Whether the sketches of two sets allow that they are similar enough."""
+    p, q = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    while len(q) > len(p):
+        q = folded(q)
+    return int(np.bitwise_count(p ^ q).sum()) <= may_differ(n, m, percent)
+
+
+def look(percent: int, first: int | None):
+    """For candidates.groups(): pairs that the sketches let pass; of each component the `first` nearest pairs only, if given."""
+
+    def run(n: np.ndarray, root: np.ndarray, chunk: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        order = np.argsort(n, kind="stable")
+        n, root, chunk = n[order], root[order], chunk[order]
+        width = np.array([len(bodies[i]) // 8 for i in order.tolist()], np.int64)
+        drawn, begin, narrow = {}, {}, {}
+        for w in np.unique(width).tolist():  # wider sketches are those of larger sets
+            begin[w] = int(np.searchsorted(width, w))
+            drawn[w] = np.frombuffer(b"".join(bodies[i] for i in order[width == w].tolist()), np.uint64).reshape(-1, w)
+            narrow[w] = folded(drawn[w]) if w > 1 else drawn[w]
+        a, b, far = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for i, others in apart(n, root, chunk, percent):
+            w = int(width[i])
+            own = drawn[w][i - begin[w]]
+            same = width[others] == w
+            d = np.zeros(len(others), np.int64)
+            d[same] = np.bitwise_count(drawn[w][others[same] - begin[w]] ^ own).sum(1)
+            if not same.all():
+                d[~same] = np.bitwise_count(narrow[2 * w][others[~same] - begin[2 * w]] ^ own).sum(1)
+            fine = d <= may_differ(n[i], n[others], percent)
+            a.append(np.full(int(fine.sum()), i)), b.append(others[fine]), far.append(d[fine])
+        a, b, far = map(np.concatenate, (a, b, far))
+        if first:
+            a, b = nearest(a, b, far, root, first)
+        return order[a], order[b]
+
+    return run
+
+
+def screen(pairs: DataFrame, drawn: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) that the sketches let pass; drawn: (id, n, sketch)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cols = [batch.column(i).to_pylist() for i in range(2, 6)]
+            good = [close(*x, percent) for x in zip(*cols, strict=True)]
+            yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-def _screen(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, percent: int, head: int) -> DataFrame:
-    """Pairs (a, b) that may be similar as far as the first `head` percent of their tokens say."""
+    left, right = (drawn.select(F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"t_{x}")) for x in "ab")
+    joined = pairs.select("a", "b").join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
+    return joined.select("a", "b", "n_a", "t_a", "n_b", "t_b").mapInArrow(run, "a long, b long")
+
+
+def sets_of(ids: DataFrame, docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, str]:
+    """A scratch table (id, n, tokens) of the sets with these ids."""
     spark = docs.sparkSession
-    ids, ids_path = kit.keep(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+    ids, path = kit.keep(ids.distinct(), "ids")
     wanted = spark.sparkContext.broadcast(kit.build_filter(ids, "id", ids.count()))
-    found = fetch(docs, key, text, words, wanted, head).join(ids, "id", "left_semi").dropDuplicates(["id"])
-    found, found_path = kit.keep(found, "sets")
+    found = kit.keep(fetch(docs, key, text, words, wanted).join(ids, "id", "left_semi").dropDuplicates(["id"]), "sets")
+    kit.remove(spark, path)
+    return found
+
+
+def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose whole sets are similar enough; found: sets_of() all of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, m = batch.column(2).to_pylist(), batch.column(4).to_pylist()
-            good = [may_be_similar(np.frombuffer(x.as_buffer(), np.uint64), n[i], np.frombuffer(y.as_buffer(), np.uint64), m[i], percent) for i, (x, y) in enumerate(zip(batch.column(3), batch.column(5), strict=True))]
+            good = [similar(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent) for x, y in zip(batch.column(2), batch.column(3), strict=True)]
             yield pa.record_batch([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    left, right = (found.select(F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"), F.col("tokens").alias(f"t_{x}")) for x in "ab")
+    left, right = (found.select(F.col("id").alias(f"id_{x}"), F.col("tokens").alias(f"t_{x}")) for x in "ab")
     joined = pairs.select("a", "b").join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
-    good, _ = kit.keep(joined.select("a", "b", "n_a", "t_a", "n_b", "t_b").mapInArrow(run, "a long, b long"), "good")
-    for path in (ids_path, found_path):
-        kit.remove(spark, path)
-    return good
-
-
-def verify(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose whole sets are similar enough; most others go by the first tokens of theirs."""
-    some = _screen(pairs, docs, key, text, words, percent, HEAD)
-    return _screen(some, docs, key, text, words, percent, 100)
+    return kit.keep(joined.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long"), "good")[0]
 
 
 # ---------------------------------------------------------------- the join
@@ -289,9 +351,29 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     top = heavy.orderBy(F.desc("c"), "token").limit(CLASS_SIZE).select("token").toArrow()["token"].to_numpy()
     frequent = spark.sparkContext.broadcast(np.sort(top.view(np.uint64)))
 
-    found = kit.block_reduce(index(docs, key, text, words, percent, frequent, parts), lambda t: pair_up(t, percent), "kind long, a long, b long, n long")
+    drawn = seen.where("sketch is not null").select(F.col("set").alias("id"), "n", "sketch")
+    found = kit.block_reduce(index(docs, key, text, words, percent, frequent, parts), lambda t: pair_up(t, percent), PAIRED)
     found, found_path = kit.keep(found, "candidates")
-    labels = groups(found, lambda pairs: verify(pairs, docs, key, text, words, percent), percent)
+
+    def chosen(ids: DataFrame) -> tuple[DataFrame, str]:
+        """(id, n, sketch) of some sets, each once."""
+        return kit.keep(drawn.join(ids.distinct(), "id", "left_semi").dropDuplicates(["id"]), "sketches")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        """Links among pairs: the sketches leave few, so a scan that fetches just their sets costs less than keeping all that may be asked for."""
+        ends = lambda p: p.select(F.col("a").alias("id")).union(p.select("b"))
+        some = chosen(ends(pairs))
+        left, path = kit.keep(screen(pairs, some[0], percent), "screened")
+        bodies, bodies_path = sets_of(ends(left), docs, key, text, words)
+        good = verify(left, bodies, percent)
+        for p in (path, bodies_path, some[1]):
+            kit.remove(spark, p)
+        return good
+
+    def drawn_of(ids: DataFrame) -> DataFrame:
+        return chosen(ids)[0].select("id", F.col("sketch").alias("body"))
+
+    labels = groups(found, checked, drawn_of, [*[(look(percent, FIRST), False)] * ROUNDS, (look(percent, None), False)])
     kit.remove(spark, found_path)
 
     rows = seen.where("set is not null").select("id", "n", "set")
@@ -305,9 +387,15 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """Rows of one document of each group: the smallest key's; of rows with that key, one with each text. Rows linked with nothing stay."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(key).cast("long").alias("_k"))
-    found = similar_groups(docs, key, text, **how).select(F.col(key).alias("_k2"), "n_shingles", "component_id")
-    stay, _ = kit.keep(found.where(F.col("_k2").eqNullSafe(F.col("component_id"))).select("_k2").distinct(), "stay")
-    kept = rows.join(stay, F.col("_k").eqNullSafe(F.col("_k2")), "left_semi")
-    return kept.select("_row.*")
+    """Rows of one document of each group: all rows of the smallest key. Rows linked with nothing stay.
+
+    Rows whose key a filter of bounded size knows not to go stay where they are; the others are joined."""
+    spark = docs.sparkSession
+    found = similar_groups(docs, key, text, **how).select(F.col(key).alias("k"), "component_id")
+    goes = found.groupBy("k").agg(F.max(F.col("k").eqNullSafe(F.col("component_id"))).alias("stays")).where("not stays").select(F.xxhash64("k").alias("h"), "k")
+    goes, _ = kit.keep(goes, "goes")
+    asked = kit.may_hold(spark.sparkContext.broadcast(kit.build_filter(goes, "h", goes.count())))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(f"`{key}`").cast("long").alias("_k"))
+    rows = rows.withColumn("_may", asked(F.xxhash64("_k")))
+    kept = rows.where("_may").join(goes.select(F.col("k").alias("_k2")), F.col("_k").eqNullSafe(F.col("_k2")), "left_anti")
+    return rows.where("not _may").select("_row").union(kept.select("_row")).select("_row.*")

@@ -10,6 +10,7 @@ changes one word count by one.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import os
 import tempfile
 import uuid
@@ -35,11 +36,36 @@ def scratch(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir(base)
     if not base:
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    path = f"{base.rstrip('/')}/plexframe-{name}-{uuid.uuid4().hex[:12]}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/plexframe-{name}-{uuid.uuid4().hex[:12]}")
+    # with its scheme, so that Spark's writers and files written from Python go to the same place
+    path = where.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(where).toString()
     atexit.register(remove, spark, path)
+    if _open:
+        _open[-1].append(path)
     return path
 
 
+_open: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_of_a_step(spark: SparkSession) -> Iterator[None]:
+    """Removes the scratch folders made inside when it ends, but those given to release()."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove(spark, path)
+
+
+def release(path: str) -> None:
+    """Keeps a scratch folder beyond the step in which it was made."""
+    for made in _open:
+        if path in made:
+            made.remove(path)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a scratch folder; one that is gone, or a session that has ended, is no error."""
     try:
