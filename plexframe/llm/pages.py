@@ -133,22 +133,43 @@ def common(a: list[str], b: list[str]) -> set[int]:
     x, y = [(i, t) for i, t in x if t in known], [t for t in y if t in kinds]  # others are in no common subsequence
     if not x or not y:
         return found
-    rows = [[0] * (len(y) + 1)]
-    for _, t in reversed(x):
-        last, row = rows[-1], [0] * (len(y) + 1)
-        for j in range(len(y) - 1, -1, -1):
-            row[j] = last[j + 1] + 1 if y[j] == t else max(last[j], row[j + 1])
-        rows.append(row)
-    i = j = 0
-    while i < len(x) and j < len(y):
-        here, below = rows[len(x) - i], rows[len(x) - i - 1]
-        if x[i][1] == y[j]:
-            found.add(x[i][0])
-            i, j = i + 1, j + 1
-        elif below[j] >= here[j + 1]:
-            i += 1
+    masks: dict[str, int] = {}
+    for j, t in enumerate(y):
+        masks[t] = masks.get(t, 0) | 1 << j
+    full = (1 << len(y)) - 1
+
+    def step(v: int, t: str) -> int:
+        """The next row of the table as bits: 0 where the longest common subsequence grows."""
+        u = v & masks[t]
+        return (v + u | v - u) & full
+
+    # every k-th row is kept and the rows between are worked out again, so memory grows with len(y) * sqrt(len(x)) bits
+    k = int(len(x) ** 0.5) + 1
+    kept, v = [full], full
+    for i, (_, t) in enumerate(x):
+        v = step(v, t)
+        if (i + 1) % k == 0:
+            kept.append(v)
+    near: list[int] = []
+    base, i, j = len(x) + 1, len(x), len(y)
+
+    def row(i: int) -> int:
+        nonlocal near, base
+        if not base <= i < base + len(near):
+            base = (i // k) * k
+            near = [kept[i // k]]
+            for _, t in x[base : base + k - 1]:
+                near.append(step(near[-1], t))
+        return near[i - base]
+
+    while i and j:
+        if row(i) >> (j - 1) & 1:
+            j -= 1
         else:
-            j += 1
+            i -= 1
+            if not (i and not row(i) >> (j - 1) & 1):
+                found.add(x[i][0])
+                j -= 1
     return found
 
 

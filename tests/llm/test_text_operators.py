@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyspark.sql.functions
 import pytest
 
 from plexframe.llm import candidates, counting, jaccard, kit, lines, mixing, packing, pages, quality, search, shards, suffix_tree
@@ -38,6 +39,25 @@ def test_encoder_equals_library(name):
             assert ids[off[r] : off[r + 1]].tolist() == enc.full.encode(texts[i + r], add_special_tokens=False).ids
 
 
+def test_words_of_a_regular_build_keep_their_own_ids(spark):
+    """Thue-Morse words and their complements collide under polynomial hashes modulo 2**64."""
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    texts = [word, word.translate(str.maketrans("ab", "ba"))] + [f"{word[:k]} {word[k : 2 * k]}" for k in (32, 64, 128, 512)]
+    s = kit.Spans(*kit.texts(pa.array(texts)), 0, len(texts))
+    h = s.hashes(*s.words()[:2])
+    assert len(set(h.tolist())) == len(h)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        full = Encoder(vocabulary(name)).full
+        want = [full.encode(t, add_special_tokens=False).ids for t in texts]
+        assert {r.doc_id: r.n_tokens for r in counting.token_counts(df, vocabulary(name)).collect()} == {i: len(w) for i, w in enumerate(want)}
+        crc = {i: zlib.crc32(np.array([*w, 1], "<u4").tobytes()) for i, w in enumerate(want)}
+        assert {r.doc_id: r.ids_crc32 for r in packing.pieces(df, vocabulary(name)).collect()} == crc
+        assert {r.key: r.ids_crc32 for r in shards.read_ids(shards.write_ids(df, vocabulary(name), end=1, shards=2)).collect()} == crc
+
+
 def test_spliced_counts_equal_whole():
     enc = Encoder(vocabulary("byte_bpe_50k.json"))
     rng = np.random.default_rng(1)
@@ -139,16 +159,66 @@ def test_suffix_tree_score(spark):
         assert r.score == pytest.approx(sum(math.log10(chance(t, i)) for i in range(len(t))))
 
 
-def test_more_than_16_items_under_a_key(spark):
-    """Items that the first one isn't linked to are joined in the second round."""
-    key, item = np.full(40, 5, np.uint64), np.arange(1, 41, dtype=np.uint64)
-    body = [b for _, b in kit.blocks(np.zeros(40, np.int64), [key, item, np.full(40, 10, np.uint32)], 1)]
-    found = candidates.pair_up(pa.table({"payload": pa.array(body, pa.binary())}), 85)
-    rows = spark.createDataFrame([tuple(r.values()) for r in found.to_pylist()], "kind long, a long, b long, n long")
-    got = {r.id: r.root for r in candidates.groups(rows, lambda p: p.where("a % 4 = b % 4").select("a", "b"), 85).collect()}
+@pytest.mark.parametrize(("tile", "links"), [(1024, True), (7, True), (7, False)])
+def test_many_items_under_a_key(spark, monkeypatch, tile, links):
+    """Items that the first one isn't linked to meet in tiles."""
+    monkeypatch.setattr(candidates, "TILE", tile)
+    item = np.arange(1, 41, dtype=np.uint64)
+    blocks = candidates.entries(np.full(40, 5 << 40 | 5, np.uint64), item, np.full(40, 10), 1)
+    found = candidates.pair_up(pa.Table.from_batches([blocks]), 85)
+    rows = spark.createDataFrame([tuple(r.values()) for r in found.to_pylist()], candidates.PAIRED)
+    verify = lambda p: p.where("a % 4 = b % 4").select("a", "b")
+
+    def look(n, root, chunk, bodies):
+        at = [(i, j) for i, others in candidates.apart(n, root, chunk, 85) for j in others.tolist() if not links or int(bodies[i]) % 4 == int(bodies[j]) % 4]
+        return np.array([i for i, _ in at], np.int64), np.array([j for _, j in at], np.int64)
+
+    bodies = lambda ids: ids.distinct().select("id", pyspark.sql.functions.col("id").cast("string").alias("body"))
+    got = {r.id: r.root for r in candidates.groups(rows, verify, bodies, [(look, links)]).collect()}
     assert len(got) == 40 and {frozenset(i for i in got if got[i] == r) for r in got.values()} == {frozenset(range(k, 41, 4)) for k in range(1, 5)}
 
 
+def test_jaccard_groups_with_a_hot_group_equal_brute_force(spark):
+    """60 near copies of one text at changing distances, others of all sizes, and passages that many share."""
+    rnd = random.Random(5)
+    vocab = [f"w{i}" for i in range(4000)]
+    base, passage = [rnd.choice(vocab) for _ in range(150)], [rnd.choice(vocab) for _ in range(60)]
+    texts = []
+    for k in range(60):
+        w = list(base)
+        for i in rnd.sample(range(150), k // 10):
+            w[i] = rnd.choice(vocab)
+        texts.append(" ".join(w))
+    for k in range(60):
+        own = [rnd.choice(vocab) for _ in range(rnd.randint(1, 40))]
+        texts += [" ".join(passage + own), " ".join(own), " ".join(own[: len(own) * 9 // 10])]
+    tokens = []
+    for t in texts:
+        w = t.split()
+        tokens.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)} - {()})
+    root = list(range(len(texts)))
+    for i, x in enumerate(tokens):
+        for j in range(i):
+            if x and tokens[j] and 100 * len(x & tokens[j]) >= 80 * len(x | tokens[j]):
+                root = [root[j] if r == root[i] else r for r in root]
+    want = {i: min(j for j, q in enumerate(root) if q == r) for i, r in enumerate(root)}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    assert {r.doc_id: r.component_id for r in jaccard.similar_groups(df).collect()} == want
+
+
+def test_sketches_never_lose_a_similar_pair():
+    rng = np.random.default_rng(6)
+    for _ in range(400):
+        a = np.unique(rng.integers(1, 1 << 62, int(rng.integers(1, 300))).astype(np.uint64))
+        b = np.unique(np.concatenate([rng.permutation(a)[: max(1, int(len(a) * rng.uniform(0.7, 1)))], rng.integers(1, 1 << 62, int(len(a) * rng.uniform(0, 0.2))).astype(np.uint64)]))
+        if jaccard.similar(a, b, 80):
+            x, y = (jaccard.sketches(t, np.array([0, len(t)]), [0])[0] for t in (a, b))
+            assert jaccard.close(len(a), x, len(b), y, 80)
+            n = np.array([len(a), len(b)])
+            found = jaccard.look(80, None)(n, np.array([1, 2]), np.zeros(2, np.int64), [x, y])
+            assert {int(found[0][0]), int(found[1][0])} == {0, 1}
+
+
 def test_targets(spark):
     sizes = {"a": 10, "b": 1000, "c": 0, "d": 500, None: 5}
     df = spark.createDataFrame([(k, 1, v) for k, v in sizes.items()], "source string, rows long, source_size long")
@@ -173,6 +243,74 @@ def test_mix_meets_targets(spark, docs):
         assert abs(target - taken) <= 0.5
 
 
+@pytest.mark.parametrize("bucket_rows", [2, 512])
+def test_mixed_documents_meet_targets(spark, bucket_rows):
+    rnd = random.Random(3)
+    rows = [(i if i % 9 else None, " ".join(f"w{i}x{k}" for k in range(rnd.randint(0, 30))), rnd.choice(("a", "a", "a", "b", "c", None)), 0, "kept") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, rows long, `a.b` string").repartition(3)
+    goal = {r.source: r.target for r in mixing.targets(df.groupBy("source").agg(pyspark.sql.functions.count("*").alias("rows"), pyspark.sql.functions.sum(mixing.sized()).alias("source_size"))).collect()}
+    out = mixing.mix_documents(df, bucket_rows=bucket_rows).collect()
+    text = {(r[0], r[1], r[2]) for r in rows}
+    partial, words = Counter(), Counter()
+    for r in out:
+        words[r.source] += len(r.text.split())
+        partial[r.source] += (r.doc_id, r.text, r.source) not in text
+    assert {k: words[k] for k in goal} == {k: round(v) for k, v in goal.items()} and max(partial.values()) <= 1
+    assert {r["a.b"] for r in out} == {"kept"}
+
+
+def test_pipeline_stages(spark, tmp_path):
+    """Each stage on its own input: what is planted goes, clean documents stay, later stages get what earlier ones kept."""
+    import corpus_pipeline
+
+    rnd = random.Random(12)
+    vocab = [f"{a}{b}" for a in ("mar", "ten", "sol", "rik", "dun", "pel", "vos", "har") for b in ("ia", "or", "us", "eta", "ino", "al", "ek", "um")]
+    text = lambda n: " ".join(rnd.choice(vocab) for _ in range(n))
+    clean = [f"{text(40)}\n{text(40)}\n{text(40)}" for _ in range(30)]
+    rows = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(clean)]
+    rows += [(100, clean[0], "en", "s0", 0), (101, clean[1] + " more", "en", "s1", 0), (102, "too short", "en", "s2", 0), (103, None, "en", None, 0), (104, "$$ ## " * 60, "en", "s0", 0)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    docs = kit.documents(spark, str(tmp_path))
+    ids = lambda df: {r.doc_id for r in df.collect()}
+    stages = dict(corpus_pipeline.STAGES)
+    one = stages["quality_rules"](spark, docs, str(tmp_path))
+    assert ids(one) == {*range(30), 100, 101} and one.columns == docs.columns
+    two = stages["line_dedup"](spark, one, str(tmp_path))
+    assert ids(two) == set(range(30))
+    near = spark.createDataFrame([(500, clean[2] + " more", "en", "s0", 0), (2, clean[2], "en", "s0", 0), (3, clean[3], "en", "s1", 0)], docs.schema)
+    assert ids(stages["ngram_jaccard_join"](spark, near, str(tmp_path))) == {2, 3}
+    mixed = stages["source_mix"](spark, two, str(tmp_path))
+    packed = stages["best_fit_packing"](spark, mixed, str(tmp_path))
+    assert mixed.columns == docs.columns and packed.count() == mixed.count()
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in final} <= set(range(30)) and len(final) == mixed.count()
+    empty = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_clashing_and_odd_column_names(spark):
+    odd = ["rows", "target", "source_size", "piece", "start", "root", "id", "lines", "a.b", "_row", "_t", "n"]
+    df = spark.createDataFrame([(i, f"{PLAIN} number{i}\nline of {i}", "s", *["x"] * len(odd)) for i in range(3)], "doc_id long, text string, source string, " + ", ".join(f"`{c}` string" for c in odd))
+    for run in (lines.dedup_rows, jaccard.keep_one, mixing.mix_documents, quality.filter_rows):
+        out = run(df)
+        assert out.columns == df.columns
+        out.collect()
+    assert suffix_tree.score(df).count() == 3 and quality.verdicts(df).count() == 3 and jaccard.similar_groups(df).count() == 3
+    assert packing.pack_documents(df, vocabulary("word_bpe_49k.json")).count() == 3
+    assert counting.token_counts(df, vocabulary("byte_bpe_50k.json")).count() == 3
+
+
+def test_empty_tables_of_the_other_operators(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, source string")
+    assert counting.token_counts(docs, vocabulary("byte_bpe_50k.json")).count() == 0
+    assert packing.pack_documents(docs, vocabulary("word_bpe_49k.json")).count() == 0
+    assert shards.read_ids(shards.write_ids(docs, vocabulary("byte_bpe_50k.json"))).count() == 0
+    assert search.top_k(spark.createDataFrame([], "vec_id long, embedding array<float>"), 5, 50, "vec_id", "embedding").count() == 0
+    assert pages.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+    assert mixing.mix(docs.select("doc_id", "source", mixing.sized().alias("size")), "doc_id", "source", "size").count() == 0
+
+
 def test_shards_round_trip(spark, docs):
     path = vocabulary("byte_bpe_50k.json")
     enc = Encoder(path)
@@ -218,6 +356,32 @@ def test_search_is_exact():
         assert row[q == i].tolist() == best and score[q == i].tolist() == s[best].tolist()
 
 
+def test_search_stops_before_a_dense_product():
+    x = np.floor(256 * np.random.default_rng(8).normal(0, 0.125, (6000, 64))).astype(np.int64)
+    own = np.arange(0, 6000, 50)
+    *_, done = search.search(search.Index(x), np.arange(6000), own, x[own], 5)
+    assert done < 0.97 * x.size
+
+
+def test_search_over_tables_equals_brute_force(spark, monkeypatch):
+    """Nulls, non-finite components, short vectors, ties, repeated ids, large values and several blocks."""
+    monkeypatch.setattr(search, "BLOCK_ROWS", 32)
+    rnd = random.Random(9)
+    rows = [(i, [rnd.choice((0.0, 0.5, -0.25, rnd.uniform(-1, 1))) for _ in range(6)]) for i in range(150)]
+    rows += [(200, [1e8, 0.0, 1.0]), (201, [-1e8]), (202, None), (203, []), (204, [None, 1.0]), (205, [float("nan")]), (206, [float("inf"), 0.0]), (None, [1.0]), (250, [0.5] * 6), (251, [0.5] * 6), (250, [0.5] * 6), (300, [0.0] * 6)]
+    df = spark.createDataFrame([(*r, "own") for r in rows], "vec_id long, embedding array<double>, score string").repartition(4)
+    fine = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    want = []
+    for n, (i, v) in enumerate(fine):
+        if i % 50 == 0:
+            best = sorted((-sum(x * y for x, y in zip(v, w)), j) for m, (j, w) in enumerate(fine) if m != n)[:5]
+            want += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
+    got = [tuple(r) for r in search.top_k(df, 5, 50, "vec_id", "embedding").collect()]
+    assert sorted(got) == sorted(want)
+    assert search.top_k(df.where("vec_id = 1"), 5, 50, "vec_id", "embedding").count() == 0
+    assert search.top_k(df.where("vec_id = 200"), 5, 50, "vec_id", "embedding").count() == 0
+
+
 def test_pages():
     page = '<html><head><title>t</title></head><body><nav><a>menu</a></nav><div class="ad">buy</div><article><h1>A &amp; B</h1><p>x\n y<br>z<p>w</article><div id="comments"><p>no</div><footer>f</footer>'
     assert pages.extract(pages.blocks(page), []) == "A & B\nx y z\nw"
