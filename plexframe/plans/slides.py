@@ -297,7 +297,7 @@ def release_totals(spark, sf):
 # ---------------------------------------------------------------- manifests and settings
 
 
-@query("""SELECT p_partkey, 'img'||p_partkey||'.tif' AS path, CASE WHEN p_size%2=0 THEN 'd' ELSE '' END AS dataset, 'tiff' AS reader_type, CASE WHEN p_size%3=0 THEN 0.5 END AS mpp, CASE WHEN p_size%5=0 THEN 'a|b' ELSE '' END AS names, CASE WHEN p_size%4=0 THEN 'stray'||p_size WHEN p_size%4=1 THEN 'given' END AS note FROM part WHERE p_partkey%10<>0""")
+@query("""SELECT p_partkey, 'img'||p_partkey||'.tif' AS path, CASE WHEN p_size%2=0 THEN 'd' ELSE '' END AS dataset, 'tiff' AS reader_type, CASE WHEN p_size%3=0 THEN CAST(0.5 AS DOUBLE) END AS mpp, CASE WHEN p_size%5=0 THEN 'a|b' ELSE '' END AS names, CASE WHEN p_size%4=0 THEN 'stray'||p_size WHEN p_size%4=1 THEN 'given' END AS note FROM part WHERE p_partkey%10<>0""")
 def image_specs(spark, sf):
     s, key = F.col("p_size").cast("string"), F.col("p_partkey")
     fields = F.concat(F.format_string('{"path": "img%d.tif"', key), F.when(F.col("p_size") % 2 == 0, ', "dataset": "d"').otherwise(""), F.when(F.col("p_size") % 3 == 0, ', "mpp": 0.5').otherwise(""), F.when(F.col("p_size") % 5 == 0, ', "channel_names": ["a", "b"]').otherwise(""), F.when(F.col("p_size") % 4 < 2, ', "extras": {"note": "given"}').otherwise(""), F.when(F.col("p_size") % 4 == 0, F.concat(F.lit(', "note": "stray'), s, F.lit('"'))).otherwise(""), F.when(key % 10 == 0, ', "error": null').otherwise(""), F.lit("}"))
@@ -451,9 +451,13 @@ def eroded_pixels(spark, sf):
     return R.erode(Q.plane_masks(spark, sf), 1).where("m = 1").select("image", "y", "x")
 
 
-@query(f"WITH RECURSIVE {O._PM}, {O._components('pm', 0)}, inner_ AS (SELECT image, label FROM st WHERE x0>0 AND y0>0 AND x0+w<8 AND y0+h<8 AND area<=3) SELECT lab.image, lab.y, lab.x FROM lab JOIN inner_ i ON i.image=lab.image AND i.label=lab.label")
+_FULL = O._PM.replace("> 0.1 ", "> -0.15 ")
+
+
+@query(f"WITH RECURSIVE {_FULL}, {O._components('pm', 0)}, inner_ AS (SELECT image, label FROM st WHERE x0>0 AND y0>0 AND x0+w<8 AND y0+h<8 AND area<=3) SELECT lab.image, lab.y, lab.x FROM lab JOIN inner_ i ON i.image=lab.image AND i.label=lab.label")
 def filled_pixels(spark, sf):
-    m = Q.plane_masks(spark, sf).withColumn("image", F.col("image").cast("long"))
+    e = Q.table(spark, sf, "embeddings").select(F.col("vec_id").cast("long").alias("image"), F.posexplode("embedding").alias("pos", "e"))
+    m = e.select("image", F.expr("pos div 8").cast("int").alias("y"), (F.col("pos") % 8).alias("x"), (F.col("e").cast("double") > -0.15).cast("int").alias("m"))
     full = R.fill_holes(m, 0.05).select("image", "y", "x", F.col("m").alias("k"))
     return m.join(full, ["image", "y", "x"]).where("m = 0 and k = 1").select("image", "y", "x")
 
