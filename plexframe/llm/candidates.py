@@ -24,10 +24,13 @@ ALL_PAIRS = 4
 TILE = 1024
 #: Entries that pair_up() takes, if it isn't told other types: key within the part, item, size.
 ENTRY = ["u4", "u8", "u4"]
+#: A size of one byte counts powers of this.
+STEP = 1.05
 
 #: What apart() gets: items of a key with their components and payloads, tile by tile.
 MET = "key long, i int, j int, chunk int, id long, n long, root long, body binary"
 #: Looks at the items of one tile (n, root, chunk, bodies): places (a, b) of pairs to hand on.
+Then = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 Look = Callable[[np.ndarray, np.ndarray, np.ndarray, list], tuple[np.ndarray, np.ndarray]]
 
 
@@ -43,7 +46,8 @@ def pair_up(table: pa.Table, percent: int, entry: list[str] = ENTRY, most: int =
     again[1:] = key[1:] == key[:-1]
     again[:-1] |= again[1:]  # keys of one entry pair nothing
     order, key = order[again], key[again]
-    sid, n = x["f1"][order], x["f2"][order].astype(np.int64)
+    sid, n = x["f1"][order], x["f2"][order]
+    n = n.astype(np.int64) if entry[2] != "u1" else np.rint(STEP**n.astype(np.float64)).astype(np.int64)
     order = np.lexsort((sid, key))
     key, sid, n = key[order], sid[order], n[order]
     new = np.ones(len(key), bool)
@@ -100,8 +104,8 @@ def _still_apart(hot: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
     return named.join(one, F.col("key") == F.col("k")).select("key", "id", "n", "root", "m"), path
 
 
-def _meet(still: DataFrame, bodies: DataFrame, look: Look) -> DataFrame:
-    """Pairs (a, b) that look() hands on; bodies: (id, body) of all items."""
+def _meet(still: DataFrame, bodies: DataFrame, look: Look, then: Then | None) -> DataFrame:
+    """Pairs (a, b) that look() hands on, or those of them that then() makes of (a, b, t_a, t_b); bodies: (id, body) of all items."""
     body = bodies.select(F.col("id").alias("l"), F.col("body").cast("binary").alias("body"))
     chunks = F.ceil(F.col("m") / F.lit(TILE)).cast("int")
     rows = still.withColumn("c", chunks).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("c")).cast("int"))
@@ -113,24 +117,30 @@ def _meet(still: DataFrame, bodies: DataFrame, look: Look) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         ids, n, root, chunk = (table.column(c).to_numpy() for c in ("id", "n", "root", "chunk"))
         a, b = look(n, root, chunk, table.column("body").to_pylist())
-        new = [p for p in zip(np.minimum(ids[a], ids[b]).tolist(), np.maximum(ids[a], ids[b]).tolist(), strict=True) if p not in seen]
-        seen.update(new)  # two items may meet under many keys
-        return pa.table({"a": pa.array([x for x, _ in new], pa.int64()), "b": pa.array([y for _, y in new], pa.int64())})
+        a, b = np.where(ids[a] < ids[b], a, b), np.where(ids[a] < ids[b], b, a)
+        pairs = list(zip(ids[a].tolist(), ids[b].tolist(), strict=True))
+        new = np.array([p not in seen for p in pairs], bool)  # two items may meet under many keys
+        seen.update(pairs)
+        a, b = a[new], b[new]
+        out = {"a": pa.array(ids[a], pa.int64()), "b": pa.array(ids[b], pa.int64())}
+        if then:
+            out |= {"t_a": table.column("body").take(pa.array(a, pa.int64())), "t_b": table.column("body").take(pa.array(b, pa.int64()))}
+        return pa.table(out)
 
-    return kit.by_group(rows, ["key", "i", "j"], run, "a long, b long")
+    return kit.by_group(rows, ["key", "i", "j"], run, "a long, b long", then)
 
 
-def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: Callable[[DataFrame], DataFrame], rounds: list[tuple[Look, bool]]) -> DataFrame:
+def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: Callable[[DataFrame], DataFrame], rounds: list[tuple[Look, Then | None]]) -> DataFrame:
     """(id, root) of all items that pair_up()'s rows link to another.
 
     verify(pairs) gives the links among pairs (a, b), bodies(ids) a table (id, body) of items; rounds has looks at what is
-    still apart, and whether the pairs that they hand on are links already."""
+    still apart, each with what makes links of its pairs in the task, or with None if verify() does."""
     spark = found.sparkSession
     pairs, pairs_path = kit.keep(found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     labels = components(verify(pairs))
     hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
     seen, paths, body = pairs, [pairs_path], None
-    for look, links in () if hot.isEmpty() else rounds:
+    for look, then in () if hot.isEmpty() else rounds:
         still, path = _still_apart(hot, labels)
         still, still_path = kit.keep(still, "apart")
         kit.remove(spark, path)
@@ -138,12 +148,13 @@ def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: C
             kit.remove(spark, still_path)
             break
         body = body or bodies(still.select("id"))
-        more, path = kit.keep(_meet(still, body, look).distinct().join(seen, ["a", "b"], "left_anti"), "more")
+        more = _meet(still, body, look, then).distinct()
+        more, path = kit.keep(more if then else more.join(seen, ["a", "b"], "left_anti"), "more")
         kit.remove(spark, still_path)
         paths.append(path)
-        seen = seen.union(more)
+        seen = seen if then else seen.union(more)
         if not more.isEmpty():
-            labels = merged(labels, more if links else verify(more))
+            labels = merged(labels, more if then else verify(more))
     for path in paths:
         kit.remove(spark, path)
     return labels

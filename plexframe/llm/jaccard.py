@@ -373,7 +373,7 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     def drawn_of(ids: DataFrame) -> DataFrame:
         return chosen(ids)[0].select("id", F.col("sketch").alias("body"))
 
-    labels = groups(found, checked, drawn_of, [*[(look(percent, FIRST), False)] * ROUNDS, (look(percent, None), False)])
+    labels = groups(found, checked, drawn_of, [*[(look(percent, FIRST), None)] * ROUNDS, (look(percent, None), None)])
     kit.remove(spark, found_path)
 
     rows = seen.where("set is not null").select("id", "n", "set")

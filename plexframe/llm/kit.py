@@ -295,10 +295,13 @@ def block_reduce(df: DataFrame, reduce: Callable[[pa.Table], pa.Table], schema:
     return df.groupBy("part").applyInArrow(reduce, schema)
 
 
-def by_group(df: DataFrame, by: list[str], work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
-    """work() on the rows of each group, many small groups to a task; rows come sorted by `by`."""
+def by_group(df: DataFrame, by: list[str], work: Callable[[pa.Table], pa.Table], schema: str, then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None) -> DataFrame:
+    """work() on the rows of each group, many small groups to a task; rows come sorted by `by`. then() goes over what work() gives in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from then(groups(batches)) if then else groups(batches)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
         for batch in batches:
             if not batch.num_rows:

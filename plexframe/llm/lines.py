@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
-from plexframe.llm.candidates import PAIRED, apart, entries, groups, nearest, pair_up
+from plexframe.llm.candidates import PAIRED, STEP, apart, entries, groups, nearest, pair_up
 
 MIN_WORDS = 1
 #: Edit similarity as a whole percentage: 1 - distance / length of the longer.
@@ -56,8 +56,8 @@ _VOTE = np.uint64(0xA0761D6478BD642F)
 #: For each byte value its bits, one to a byte.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").view(np.uint64).ravel()
 
-#: What pair_up() takes: characters up to 65,535, which only keeps lines of unlike lengths from being paired.
-ENTRY = ["u4", "u8", "u2"]
+#: What pair_up() takes: characters as powers of candidates.STEP, which only keep lines of unlike lengths from being paired.
+ENTRY = ["u4", "u8", "u1"]
 
 _FOLD = np.full(256, 0x20, np.uint8)
 _FOLD[0x80:] = np.arange(0x80, 256)
@@ -404,7 +404,8 @@ def keyed(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
                 x = Lines(data, off, i, j, min_words)
                 h, first = np.unique(x.hash, return_index=True)
                 key, place = x.keys(first)
-                yield entries(key, h[place], np.minimum(x.chars[first], 0xFFFF)[place], parts, ENTRY)
+                size = np.minimum(np.rint(np.log(x.chars[first]) / np.log(STEP)), 255)
+                yield entries(key, h[place], size[place], parts, ENTRY)
 
     return rows.mapInArrow(run, kit.BLOCK)
 
@@ -450,8 +451,8 @@ def lines_of(ids: DataFrame, rows: DataFrame, min_words: int) -> tuple[DataFrame
     return found
 
 
-def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose lines are similar; found: lines_of() all of them."""
+def checked(percent: int):
+    """Of batches (a, b, line, line) the pairs (a, b) whose lines are similar, many worked out together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -459,7 +460,7 @@ def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         def flush() -> pa.RecordBatch:
             t = pa.Table.from_batches(held)
             held.clear()
-            good = all_similar(t.column(2).to_pylist(), t.column(3).to_pylist(), percent)
+            good = all_similar(*(t.column(i).cast(pa.string()).to_pylist() for i in (2, 3)), percent)
             return t.select([0, 1]).filter(pa.array(good, pa.bool_())).combine_chunks()
 
         for batch in batches:
@@ -469,9 +470,15 @@ def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
         if held:
             yield from flush().to_batches()
 
+    return run
+
+
+def verify(pairs: DataFrame, found: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose lines are similar; found: lines_of() all of them."""
+
     left, right = (found.select(F.col("id").alias(f"id_{x}"), F.col("line").alias(f"t_{x}")) for x in "ab")
     joined = pairs.select("a", "b").join(left, F.col("a") == F.col("id_a")).join(right, F.col("b") == F.col("id_b"))
-    good, _ = kit.keep(joined.select("a", "b", "t_a", "t_b").mapInArrow(run, "a long, b long"), "good")
+    good, _ = kit.keep(joined.select("a", "b", "t_a", "t_b").mapInArrow(checked(percent), "a long, b long"), "good")
     return good
 
 
@@ -538,12 +545,12 @@ def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words:
     seen, seen_path = kit.keep(scan(rows, parts, min_words), "seen")
     settled = seen.where("kind = 0").groupBy("part").applyInArrow(lambda t: settle(t, parts), "kind int, part int, payload binary")
     settled, settled_path = kit.keep(settled, "settled")
-    found = kit.block_reduce(keyed(rows, parts, min_words), lambda t: pair_up(t, percent, ENTRY), PAIRED)
+    found = kit.block_reduce(keyed(rows, parts, min_words), lambda t: pair_up(t, int(percent / STEP), ENTRY), PAIRED)
     found, found_path = kit.keep(found, "candidates")
     # all rounds of groups() look at these lines only
     ids = found.select(F.explode(F.when(F.col("kind") == 0, F.array("a", "b")).otherwise(F.array("b"))).alias("id"))
     texts, texts_path = lines_of(ids, rows, min_words)
-    labels = groups(found, lambda pairs: verify(pairs, texts, percent), lambda _: texts.select("id", F.col("line").alias("body")), [*[(look(percent, FIRST), False)] * ROUNDS, (look(percent, None), False)])
+    labels = groups(found, lambda pairs: verify(pairs, texts, percent), lambda _: texts.select("id", F.col("line").alias("body")), [*[(look(percent, FIRST), checked(percent))] * ROUNDS, (look(percent, None), checked(percent))])
     kit.remove(spark, texts_path)
 
     grouped = spark.sparkContext.broadcast(kit.build_filter(labels, "id", labels.count()))
