@@ -2,16 +2,20 @@
 
 Tokens are lower-cased words and one end for each text. Training counts every token of every training text.
 The root of the tree is the smoothed unigram distribution (c + 1) / (N + V + 1). Contexts are the one
-or two words before a token. Following the usual construction, a context enters the tree only if it and
-its next symbol make up at least `LEAST` of all tokens together, and it is retained only if its
+or two words before a token. Following the usual construction, a context and its next symbol enter the tree
+if training has them `FLOOR` times or more, and a context is retained only if its
 next-symbol distribution diverges from that of its longest retained suffix by `DIVERGENCE` bits or more.
 Next-symbol counts are discounted by `DISCOUNT`; what that frees, and what goes to symbols too rare to be
 listed, is spread over all other symbols as the suffix has them. A token is scored in the longest retained
 state that ends before it.
 
-`LEAST` bounds the tree: at most 1 / LEAST entries of each depth, whatever the corpus is, so it is
-broadcast. The unigram counts have no such bound; they stay in blocks by word, and the words of all texts
-that are not among the frequent ones go to those blocks, and their scores back, as packed arrays.
+The tree grows with the input and is nowhere whole. A run of words has a 64-bit id, made of the ids of the run without its
+last word (its context) and of the run without its first (its suffix). Runs are counted in blocks by id, and the
+statistics of contexts are aggregates and joins on ids. A token's score is a sum: what the root gives the word, what its
+context of one word changes in that, and what its context of two words changes in that. Hence each word, pair and triple
+has one number that it adds to the score of a text; texts send the ids of what they hold to the blocks that have
+these numbers, and get sums back. The most frequent (bounded by `LEAST`) are broadcast instead, and filters of bounded
+size keep back most of what adds nothing; both change the work, never the result.
 
 Defined results: a null or empty text has the end alone; a null id counts as training; rows of equal id
 and text get equal scores; other columns are not looked at; an empty table gives an empty table.
@@ -24,17 +28,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
 
-LEAST = 1e-6
+#: Occurrences in training from which a context with its next symbol is listed, whatever the size of the corpus.
+FLOOR = 2
 DIVERGENCE = 0.02
 DISCOUNT = 0.6
+#: Share of all tokens from which a word is broadcast, and how many times that a pair or triple needs.
+LEAST, RUNS = 1e-6, 10
 FOLDS, HELD_OUT = 7, 2
-#: Distinct keys that a task counts before it hands them on.
-HELD = 2_000_000
+#: Distinct runs that a task counts before it hands them on; ids and texts that it collects before it sends them.
+HELD = 1_500_000
+ASKED, TEXTS = 1_000_000, 1 << 15
 
 END = np.uint64(0x0E4D0E4D0E4D0E4D)
 
@@ -53,297 +62,318 @@ def tokens(data: np.ndarray, off: np.ndarray, i: int, j: int) -> tuple[np.ndarra
     return h[order], row[order]
 
 
-class Frequent:
-    """The frequent words: sorted hashes and counts."""
+def longer(run: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(id, context, suffix, row) of the runs that are one token longer than these, which are all of a length in their order."""
+    at = np.flatnonzero(row[1:] == row[:-1])
+    context, suffix = run[at], run[at + 1]
+    return kit.digest(context, suffix), context, suffix, row[at]
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, total: int, distinct: int):
-        order = np.argsort(hashes)
-        self.hashes, self.counts, self.total, self.distinct = hashes[order], counts[order], total, distinct
-        self.n = len(hashes)
-        self.root = np.log10((self.counts + 1.0) / (total + distinct + 1.0))
 
-    def numbers(self, h: np.ndarray) -> np.ndarray:
-        """Their numbers, -1 for other words."""
-        if not self.n:
-            return np.full(len(h), -1, np.int64)
-        kinds, which = np.unique(h, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.hashes, kinds), self.n - 1)
-        return np.where(self.hashes[at] == kinds, at, -1)[which]
-
-
-def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    """Places of wanted keys in sorted keys, -1 for those that aren't there or are negative."""
-    if not len(keys):
-        return np.full(len(wanted), -1, np.int64)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return np.where((keys[at] == wanted) & (wanted >= 0), at, -1)
-
-
-def pairs(number: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
-    """For each token, the key of (token before it, it); -1 where one is not frequent or the text begins."""
-    out = np.full(len(number), -1, np.int64)
-    if len(number) > 1:
-        ok = (row[1:] == row[:-1]) & (number[1:] >= 0) & (number[:-1] >= 0)
-        out[1:][ok] = number[:-1][ok] * n + number[1:][ok]
-    return out
-
-
-def triples(number: np.ndarray, pair: np.ndarray, n: int) -> np.ndarray:
-    """For each token, the key of (pair before it, it); pair: places of pairs ending at each token."""
-    out = np.full(len(number), -1, np.int64)
-    if len(number) > 1:
-        ok = (pair[1:] >= 0) & (pair[:-1] >= 0)
-        out[1:][ok] = pair[:-1][ok] * n + number[1:][ok]
-    return out
+def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
+    return ((ids >> np.uint64(33)) % np.uint64(parts)).astype(np.int64)
 
 
 # ---------------------------------------------------------------- counting
 
 
 class Tally:
-    """Counts of 64-bit keys in a task, handed on in blocks when there are many."""
+    """Counts of runs in a task, handed on in blocks when there are many."""
 
-    def __init__(self, parts: int):
-        self.parts, self.keys, self.counts, self.n = parts, [], [], 0
+    def __init__(self, kind: int, parts: int):
+        self.kind, self.parts, self.held, self.n = kind, parts, [], 0
 
-    def add(self, keys: np.ndarray) -> Iterator[pa.RecordBatch]:
-        k, c = np.unique(keys, return_counts=True)
-        self.keys.append(k), self.counts.append(c)
-        self.n += len(k)
+    def add(self, *run: np.ndarray) -> Iterator[pa.RecordBatch]:
+        _, first, c = np.unique(run[0], return_index=True, return_counts=True)
+        self.held.append([*(x[first] for x in run), c])
+        self.n += len(first)
         if self.n > HELD:
             self._merge()
             if self.n > HELD // 2:
                 yield self.flush()
 
     def _merge(self) -> None:
-        if self.keys:
-            k, c = summed(np.concatenate(self.keys), np.concatenate(self.counts))
-            self.keys, self.counts, self.n = [k], [c], len(k)
+        if self.held:
+            self.held = [summed([np.concatenate(x) for x in zip(*self.held, strict=True)])]
+            self.n = len(self.held[0][0])
 
     def flush(self) -> pa.RecordBatch:
         self._merge()
-        k, c = (self.keys[0], self.counts[0]) if self.keys else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        self.keys, self.counts, self.n = [], [], 0
-        k = k.astype(np.uint64)
-        return kit.block_batch(list(kit.blocks((kit.mix(k) % np.uint64(self.parts)).astype(np.int64), [k, c.astype(np.uint32)], self.parts)))
-
-
-def summed(k: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not len(k):
-        return k, c
-    order = np.argsort(k, kind="stable")
-    k, c = k[order], c[order]
+        found = []
+        if self.held:
+            run, c = self.held[0][:-1], self.held[0][-1]
+            sent = run if len(run) == 1 else run[1:]  # a longer run's id follows from the others
+            found = list(kit.blocks(part_of(run[0], self.parts), [*sent, c.astype(np.uint32)], self.parts))
+        self.held, self.n = [], 0
+        return pa.record_batch([pa.array([self.kind] * len(found), pa.int32()), pa.array([p for p, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], ["kind", "part", "payload"])
+
+
+def summed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """Of equal ids, the first column, one row with the sum of the last column."""
+    if not len(columns[0]):
+        return columns
+    order = np.argsort(columns[0], kind="stable")
+    k = columns[0][order]
     cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-    return k[cut], np.add.reduceat(c, cut)
+    return [*(x[order[cut]] for x in columns[:-1]), np.add.reduceat(columns[-1][order], cut)]
 
 
-COUNTED = "part int, payload binary, total long, distinct long"
+COUNTED = "kind int, id long, context long, suffix long, k long"
 
 
-def count(rows: DataFrame, keys_of, parts: int, least: int = 1) -> DataFrame:
-    """Counts over all training rows (i, t) of the keys that keys_of(hash, row) gives; blocks of (key, count)."""
+def count(rows: DataFrame, parts: int, listed=None) -> DataFrame:
+    """Counts over all training rows (i, t): of words (kind 0) and pairs (kind 1), or, with a broadcast filter of the pairs
+    listed, of triples (kind 2). Pairs and triples below the floor are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(parts)
+        tally = [Tally(k, parts) for k in range(3)]
         for batch in batches:
             batch = batch.filter(pa.array(~held_out(batch.column(0))))
             data, off = kit.texts(batch.column(1))
             for i, j in kit.slices(off):
-                yield from tally.add(keys_of(*tokens(data, off, i, j)))
-        yield tally.flush()
+                h, row = tokens(data, off, i, j)
+                pair, *ends, row_of = longer(h, row)
+                if listed is None:
+                    yield from tally[0].add(h)
+                    yield from tally[1].add(pair, *ends)
+                else:
+                    may = listed.value.may_hold(pair)
+                    at = np.flatnonzero((row_of[1:] == row_of[:-1]) & may[1:] & may[:-1])
+                    yield from tally[2].add(kit.digest(pair[at], pair[at + 1]), pair[at], pair[at + 1])
+        for t in tally:
+            yield t.flush()
 
     def add_up(table: pa.Table) -> pa.Table:
-        x = kit.unblock(table, ["u8", "u4"])
-        k, c = summed(x["f0"], x["f1"].astype(np.int64))
-        k, c = k[c >= least], c[c >= least]
-        body = np.empty(len(k), [("k", "u8"), ("c", "i8")])
-        body["k"], body["c"] = k, c
-        return pa.table({"part": table.column("part").slice(0, 1), "payload": pa.array([body.tobytes()], pa.binary()), "total": [int(c.sum())], "distinct": [len(k)]})
+        kind = int(table.column("kind")[0].as_py())
+        x = kit.unblock(table, ["u8", "u8", "u4"] if kind else ["u8", "u4"])
+        ends = [np.ascontiguousarray(x[f]) for f in x.dtype.names[:-1]]
+        found = summed([*([kit.digest(*ends), *ends] if kind else ends * 3), x[x.dtype.names[-1]].astype(np.int64)])
+        kept = found[-1] >= (FLOOR if kind else 1)
+        cols = [pa.array(c[kept].view(np.int64)) for c in found]
+        return pa.table([pa.array(np.full(int(kept.sum()), kind), pa.int32()), *cols], ["kind", "id", "context", "suffix", "k"])
 
-    return kit.block_reduce(rows.mapInArrow(run, kit.BLOCK), add_up, COUNTED)
+    return rows.mapInArrow(run, "kind int, part int, payload binary").groupBy("kind", "part").applyInArrow(add_up, COUNTED)
 
 
-def gathered(counted: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of at least `least`; there are at most N / least of them."""
+# ---------------------------------------------------------------- the tree
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                x = np.frombuffer(raw, [("k", "u8"), ("c", "i8")])
-                x = x[x["c"] >= least]
-                yield pa.record_batch([pa.array(x["k"].view(np.int64) if x["k"].flags.c_contiguous else np.ascontiguousarray(x["k"]).view(np.int64)), pa.array(np.ascontiguousarray(x["c"]))], ["k", "c"])
 
-    out = counted.select("payload").mapInArrow(run, "k long, c long").toArrow()
-    return out["k"].to_numpy().astype(np.int64).view(np.uint64), out["c"].to_numpy().astype(np.int64)
+def retained(items: DataFrame, runs: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """One depth of the tree, from items (id, times, value: log10 probability of the last word in the longest retained state)
+    and the listed runs (id, context, suffix, k) that are one longer.
+
+    Gives states (id, weight: log10 weight of the suffix) of the retained contexts, the runs as items with their `gain` (what
+    the state changes for a listed symbol, beyond the weight; null where it is not retained), and scratch paths."""
+    lower = items.select(F.col("id").alias("suffix"), "value")
+    named, named_path = kit.keep(runs.join(lower, "suffix").select("id", "context", "k", "value"), "named")
+    k, n, times = F.col("k"), F.col("n"), F.col("times")
+    bits = F.sum(k * (F.log2(k) - F.col("value") * float(np.log2(10))))
+    sums = named.groupBy("context").agg(F.sum("k").alias("n"), F.count("*").alias("kinds"), F.sum(F.pow(F.lit(10.0), "value")).alias("under"), bits.alias("bits"))
+    sums = sums.join(items.select(F.col("id").alias("context"), "times"), "context")
+    gone, below, rest = (F.greatest(1 - x, F.lit(1e-9)) for x in (n / times, F.col("under"), (n - DISCOUNT * F.col("kinds")) / times))
+    good = (F.col("bits") - n * F.log2(times)) / times + gone * F.log2(gone / below) >= DIVERGENCE
+    states, states_path = kit.keep(sums.where(good).select("context", "times", F.log10(rest / below).alias("weight")), "states")
+    p = F.log10((k - DISCOUNT) / times)
+    grown = named.join(states, "context", "left").select("id", k.alias("times"), F.coalesce(p, "value").alias("value"), (p - F.col("value") - F.col("weight")).alias("gain"))
+    grown, grown_path = kit.keep(grown, "runs")
+    kit.remove(items.sparkSession, named_path)
+    return states.select(F.col("context").alias("id"), "weight"), grown, [states_path, grown_path]
+
+
+def grow(rows: DataFrame, parts: int) -> tuple[int, int, DataFrame, DataFrame, DataFrame, list[str]]:
+    """(training tokens, distinct ones, words, pairs, triples, scratch paths).
+
+    Words: (id, times, base: log10 probability at the root, gain: base and the weight of the word as a context).
+    Pairs and triples: (id, times, gain) of those that change a score; a pair's gain has its weight as a context in it."""
+    spark = rows.sparkSession
+    counted, counted_path = kit.keep(count(rows, parts), "counts")
+    words = counted.where("kind = 0").select("id", F.col("k").alias("times"))
+    sums = words.agg(F.sum("times").alias("n"), F.count("*").alias("v")).first()
+    total, distinct = sums.n or 0, sums.v or 0
+    words = words.withColumn("value", F.log10((F.col("times") + 1.0) / (total + distinct + 1.0)))
+    listed = counted.where("kind = 1")
+    states, pairs, paths = retained(words, listed)
+    words, path = kit.keep(words.join(states, "id", "left").select("id", "times", F.col("value").alias("base"), (F.col("value") + F.coalesce("weight", F.lit(0.0))).alias("gain")), "words")
+    kit.remove(spark, paths[0]), kit.remove(spark, counted_path)
+    some = spark.sparkContext.broadcast(kit.build_filter(pairs, "id", pairs.count()))
+    triples, triples_path = kit.keep(count(rows, parts, some), "triples")
+    states, triples, more = retained(pairs, triples)
+    kit.remove(spark, triples_path)
+    weighed = F.coalesce("gain", F.lit(0.0)) + F.coalesce("weight", F.lit(0.0))
+    pairs, pairs_path = kit.keep(pairs.join(states, "id", "left").select("id", "times", weighed.alias("gain")).where("gain <> 0"), "pairs")
+    kit.remove(spark, paths[1]), kit.remove(spark, more[0])
+    return total, distinct, words, pairs, triples.where("gain is not null").select("id", "times", "gain"), [path, pairs_path, more[1]]
 
 
-# ---------------------------------------------------------------- the tree
+# ---------------------------------------------------------------- scoring
 
 
-class Tree:
-    """Retained states with discounted next-symbol probabilities and weights of their suffixes, in log10."""
-
-    def __init__(self, words: Frequent, pair: tuple[np.ndarray, np.ndarray], triple: tuple[np.ndarray, np.ndarray], divergence: float = DIVERGENCE, discount: float = DISCOUNT):
-        self.words = w = words
-        n = max(w.n, 1)
-        self.pair, self.pair_count = self._sorted(*pair)
-        self.triple, triple_count = self._sorted(*triple)
-        before, after = self.pair // n, self.pair % n
-        root = 10.0**w.root
-        self.p1, self.weight1, self.kept1 = self._states(before, self.pair_count, w.counts.astype(float), root[after] if len(after) else np.zeros(0), divergence, discount)
-        # what the longest retained suffix gives to the listed symbols of two-word contexts
-        context, last = self.triple // n, self.triple % n
-        suffix = after[context] if len(context) else context
-        inner = find(self.pair, suffix * n + last)
-        lower = root[last] if len(last) else np.zeros(0)
-        if len(last):
-            listed = np.where(inner >= 0, 10.0 ** self.p1[inner], 10.0 ** self.weight1[suffix] * lower)
-            lower = np.where(self.kept1[suffix], listed, lower)
-        self.p2, self.weight2, self.kept2 = self._states(context, triple_count, self.pair_count.astype(float), lower, divergence, discount)
-
-    @staticmethod
-    def _sorted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        order = np.argsort(keys)
-        return keys[order].astype(np.int64), counts[order]
-
-    @staticmethod
-    def _states(context: np.ndarray, counts: np.ndarray, times: np.ndarray, lower: np.ndarray, divergence: float, discount: float):
-        """(log10 p of each entry, log10 weight of the suffix in each context, which contexts are retained)."""
-        n = len(times)
-        p = (counts - discount) / times[context] if len(context) else np.zeros(0)
-        mass = np.bincount(context, weights=p, minlength=n)
-        under = np.bincount(context, weights=lower, minlength=n)
-        rest, below = np.maximum(1 - mass, 1e-9), np.maximum(1 - under, 1e-9)
-        exact = counts / times[context] if len(context) else p
-        gone = np.maximum(1 - np.bincount(context, weights=exact, minlength=n), 1e-9)
-        bits = np.bincount(context, weights=exact * np.log2(exact / lower) if len(context) else None, minlength=n) + gone * np.log2(gone / below)
-        kept = (np.bincount(context, minlength=n) > 0) & (bits >= divergence)
-        return np.log10(p), np.log10(rest / below), kept
-
-    def score(self, number: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """log10 probability of each token; for a word that isn't frequent, without what the root gives it."""
-        w, n = self.words, max(self.words.n, 1)
-        out = np.where(number >= 0, w.root[number] if w.n else 0.0, 0.0)
-        if len(number) < 2 or not w.n:
-            return out
-        pair = find(self.pair, pairs(number, row, n))
-        before = np.full(len(number), -1, np.int64)
-        before[1:] = np.where(row[1:] == row[:-1], number[:-1], -1)
-        one = np.flatnonzero(before >= 0)
-        one = one[self.kept1[before[one]]]
-        out[one] = np.where(pair[one] >= 0, self.p1[pair[one]] if len(self.p1) else 0.0, self.weight1[before[one]] + out[one])
-        context = np.full(len(number), -1, np.int64)
-        context[1:] = np.where(row[1:] == row[:-1], pair[:-1], -1)
-        two = np.flatnonzero(context >= 0)
-        two = two[self.kept2[context[two]]]
-        entry = find(self.triple, np.where(number[two] >= 0, context[two] * n + number[two], -1))
-        out[two] = np.where(entry >= 0, self.p2[entry] if len(self.p2) else 0.0, self.weight2[context[two]] + out[two])
-        return out
-
-
-def grow(rows: DataFrame, parts: int, least: float = LEAST) -> tuple[Tree, DataFrame]:
-    """The tree, and the table of all unigram counts in blocks."""
-    spark = rows.sparkSession
-    unigrams, _ = kit.keep(count(rows, lambda h, row: h, parts), "unigrams")
-    sums = unigrams.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
-    total, distinct = sums.n or 0, sums.v or 0
-    floor = max(2, int(np.ceil(least * total)))
-    words = Frequent(*gathered(unigrams, floor), total, distinct)
-    known, n = spark.sparkContext.broadcast(words), max(words.n, 1)
+class Known:
+    """Sorted ids of the most frequent runs, and what they add."""
+
+    def __init__(self, table: DataFrame, floor: float):
+        found = table.where(F.col("times") >= floor).toArrow()
+        ids = found["id"].to_numpy().view(np.uint64)
+        order = np.argsort(ids)
+        self.ids = ids[order]
+        self.values = {c: found[c].to_numpy()[order] for c in found.column_names if c not in ("id", "times")}
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        """Their places, -1 for others."""
+        return find(self.ids, ids)
 
-    def pair_keys(h: np.ndarray, row: np.ndarray) -> np.ndarray:
-        k = pairs(known.value.numbers(h), row, n)
-        return k[k >= 0].view(np.uint64)
+    def sums(self, value: str, place: np.ndarray, row: np.ndarray, n: int) -> np.ndarray:
+        hit = place >= 0
+        return np.bincount(row[hit], weights=self.values[value][place[hit]], minlength=n)
 
-    pair = gathered(count(rows, pair_keys, parts, floor), floor)
-    listed = spark.sparkContext.broadcast(np.sort(pair[0].astype(np.int64)))
 
-    def triple_keys(h: np.ndarray, row: np.ndarray) -> np.ndarray:
-        number = known.value.numbers(h)
-        k = triples(number, find(listed.value, pairs(number, row, n)), n)
-        return k[k >= 0].view(np.uint64)
+def find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Places of wanted keys in sorted keys, -1 for those that aren't there."""
+    if not len(keys):
+        return np.full(len(wanted), -1, np.int64)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return np.where(keys[at] == wanted, at, -1)
 
-    triple = gathered(count(rows, triple_keys, parts, floor), floor)
-    return Tree(words, pair, triple), unigrams
 
+#: Of a text: name, id, whether it is null, held out, tokens, known ones, base, score.
+_DOC = [("name", "u8"), ("id", "i8"), ("null", "u1"), ("held", "u1"), ("n", "i8"), ("known", "i8"), ("base", "f8"), ("score", "f8")]
+#: What texts ask for: an id, and the text's place in the unit; what they get: place, known words, base and score to add.
+_ASK, _GET = [("h", "u8"), ("r", "u2")], [("r", "u2"), ("known", "u4"), ("base", "f8"), ("score", "f8")]
+SENT = "kind int, part int, unit long, payload binary"
+SCORED = "name long, k long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
 
-# ---------------------------------------------------------------- scoring
 
-_DOC = ["u8", "i8", "u1", "u1", "i8", "i8", "f8", "f8"]
-_PART = ["u8", "f8", "i8"]
+def gather(rows: DataFrame, parts: int, look, table: DataFrame, unknown: float) -> DataFrame:
+    """SCORED of every row (i, t), from what look(hash, row, n) finds at once and what the blocks of table (id, base, gain) have.
 
+    look gives three sums for each of n rows (known words, base, score), and two lists (id, row) of words and of longer runs to
+    ask for. A word that the table doesn't have gets `unknown`, a longer run nothing."""
 
-def score(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
-    """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    spark = docs.sparkSession
-    parts = 2 * kit.partitions(docs)
-    rows = kit.split_rows(docs).select(F.col(key).cast("long").alias("i"), F.col(text).cast("string").alias("t"))
-    tree, unigrams = grow(rows, parts, least)
-    total, distinct = tree.words.total, tree.words.distinct
-    shared = spark.sparkContext.broadcast(tree)
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get()
+        unit = (task.partitionId() if task else 0) << 32
+        docs, asks, size, n_docs = [], ([], []), 0, 0
+
+        def flush() -> pa.RecordBatch:
+            nonlocal unit, size, n_docs
+            found = [(0, (unit >> 32) % parts, np.concatenate(docs).tobytes())] if docs else []
+            for kind in (0, 1):
+                if asks[kind]:
+                    h, r = (np.concatenate(x) for x in zip(*asks[kind], strict=True))
+                    found += [(kind + 1, p, b) for p, b in kit.blocks(part_of(h, parts), [h, r.astype(np.uint16)], parts)]
+                asks[kind].clear()
+            docs.clear()
+            kind, part, body = zip(*found, strict=True) if found else ((), (), ())
+            out = pa.record_batch([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array([unit] * len(kind), pa.int64()), pa.array(body, pa.binary())], ["kind", "part", "unit", "payload"])
+            unit, size, n_docs = unit + 1, 0, 0
+            return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t = shared.value
         for batch in batches:
             name, held, null = kit.row_keys(batch.column(0), batch.column(1)), held_out(batch.column(0)), batch.column(0).is_null().to_numpy(zero_copy_only=False)
-            number_of = batch.column(0).fill_null(0).to_numpy()
+            number = batch.column(0).fill_null(0).to_numpy()
             data, off = kit.texts(batch.column(1))
-            found: list[tuple[int, int, bytes]] = []
             for i, j in kit.slices(off):
                 h, row = tokens(data, off, i, j)
-                number = t.words.numbers(h)
-                known = number >= 0
-                base = np.where(known, t.words.root[number] if t.words.n else 0.0, 0.0)
-                sums = [np.bincount(row, weights=x, minlength=j - i) for x in (np.ones(len(row)), known, base, t.score(number, row))]
-                cols = [name[i:j], number_of[i:j], null[i:j].astype(np.uint8), held[i:j].astype(np.uint8), sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2], sums[3]]
-                found += [(0, p, b) for p, b in kit.blocks((name[i:j] % np.uint64(parts)).astype(np.int64), cols, parts)]
-                rare = np.flatnonzero(~known)
-                if len(rare):
-                    order = rare[np.lexsort((h[rare], row[rare]))]
-                    cut = np.flatnonzero(np.concatenate([[True], (h[order][1:] != h[order][:-1]) | (row[order][1:] != row[order][:-1])]))
-                    times = np.diff(np.append(cut, len(order))).astype(np.uint32)
-                    word, doc = h[order][cut], name[i:j][row[order][cut]]
-                    found += [(1, p, b) for p, b in kit.blocks((kit.mix(word) % np.uint64(parts)).astype(np.int64), [word, doc, times], parts)]
-            kind, part, body = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.record_batch([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(body, pa.binary())], ["kind", "part", "payload"])
-
-    scanned, scanned_path = kit.keep(rows.mapInArrow(run, "kind int, part int, payload binary"), "scanned")
-    asked = scanned.where("kind = 1").union(unigrams.select(F.lit(0).alias("kind"), "part", "payload"))
-
-    def answer(table: pa.Table) -> pa.Table:
-        kinds = np.array(table.column("kind").to_pylist())
-        known = kit.unblock(table.filter(pa.array(kinds == 0)), ["u8", "i8"])
-        want = np.unique(kit.unblock(table.filter(pa.array(kinds == 1)), ["u8", "u8", "u4"]))
-        order = np.argsort(known["f0"])
-        k, c = known["f0"][order].copy(), known["f1"][order]
-        times = np.zeros(len(want), np.int64)
-        if len(k) and len(want):
-            at = np.minimum(np.searchsorted(k, want["f0"]), len(k) - 1)
-            times = np.where(k[at] == want["f0"], c[at], 0)
-        many = want["f2"].astype(np.int64)
-        gain = many * np.log10((times + 1.0) / (total + distinct + 1.0))
-        docs_, which = np.unique(want["f1"], return_inverse=True)
-        out = [docs_, np.bincount(which, weights=gain, minlength=len(docs_)), np.bincount(which, weights=many * (times > 0), minlength=len(docs_)).astype(np.int64)]
-        found = list(kit.blocks((docs_ % np.uint64(parts)).astype(np.int64), out, parts))
-        return pa.table({"kind": pa.array([1] * len(found), pa.int32()), "part": pa.array([p for p, _ in found], pa.int32()), "payload": pa.array([b for _, b in found], pa.binary())})
-
-    answered = asked.groupBy("part").applyInArrow(answer, "kind int, part int, payload binary")
+                known, base, score, words, runs = look(h, row, j - i)
+                doc = np.zeros(j - i, _DOC)
+                for f, v in (("name", name[i:j]), ("id", number[i:j]), ("null", null[i:j]), ("held", held[i:j]), ("n", np.bincount(row, minlength=j - i)), ("known", known), ("base", base), ("score", score)):
+                    doc[f] = v
+                docs.append(doc)
+                for kind, (ids, of) in enumerate((words, runs)):
+                    if len(ids):
+                        asks[kind].append((ids, of + n_docs))
+                        size += len(ids)
+                n_docs += j - i
+                if size > ASKED or n_docs > TEXTS - 4096:
+                    yield flush()
+        yield flush()
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        ids = known.column("id").to_numpy().view(np.uint64) if len(known) else np.zeros(0, np.uint64)
+        order = np.argsort(ids)
+        ids = ids[order]
+        base, gain = (known.column(c).to_numpy()[order] if len(known) else np.zeros(0) for c in ("base", "gain"))
+        kinds, units, bodies = (asked.column(c).to_pylist() for c in ("kind", "unit", "payload")) if len(asked) else ([], [], [])
+        out = [(u, 0, b) for k, u, b in zip(kinds, units, bodies, strict=True) if not k]
+        for kind, unit, body in zip(kinds, units, bodies, strict=True):
+            if not kind:
+                continue
+            x = np.frombuffer(body, _ASK)
+            at = find(ids, np.ascontiguousarray(x["h"]))
+            hit, r = at >= 0, x["r"].astype(np.int64)
+            n = int(r.max()) + 1
+            if kind == 1:
+                some = np.bincount(r, minlength=n) > 0
+                sums = [np.bincount(r, weights=w, minlength=n) for w in (hit, np.where(hit, base[at] if len(base) else 0.0, unknown), np.where(hit, gain[at] if len(gain) else 0.0, unknown))]
+            else:
+                r, at = r[hit], at[hit]
+                some = np.bincount(r, minlength=n) > 0
+                sums = [np.zeros(n), np.zeros(n), np.bincount(r, weights=gain[at] if len(gain) else None, minlength=n)]
+            got = np.zeros(int(some.sum()), _GET)
+            got["r"] = np.flatnonzero(some)
+            for f, v in zip(("known", "base", "score"), sums, strict=True):
+                got[f] = v[some]
+            if len(got):
+                out.append((unit, 1, got.tobytes()))
+        unit, kind, body = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table({"unit": pa.array(unit, pa.int64()), "kind": pa.array(kind, pa.int32()), "payload": pa.array(body, pa.binary())})
 
     def finish(table: pa.Table) -> pa.Table:
         kinds = np.array(table.column("kind").to_pylist())
-        d = kit.unblock(table.filter(pa.array(kinds == 0)), _DOC)
-        p = kit.unblock(table.filter(pa.array(kinds == 1)), _PART)
-        names, which = np.unique(p["f0"], return_inverse=True)
-        gain, known = np.bincount(which, weights=p["f1"], minlength=len(names)), np.bincount(which, weights=p["f2"], minlength=len(names)).astype(np.int64)
-        at = np.minimum(np.searchsorted(names, d["f0"]), max(len(names) - 1, 0))
-        hit = names[at] == d["f0"] if len(names) else np.zeros(len(d), bool)
-        gain, known = (np.where(hit, x[at], 0) if len(names) else np.zeros(len(d), x.dtype) for x in (gain, known))
+        bodies = table.column("payload").to_pylist()
+        d = np.concatenate([np.frombuffer(b, _DOC) for k, b in zip(kinds, bodies, strict=True) if not k] or [np.zeros(0, _DOC)]).copy()
+        for k, b in zip(kinds, bodies, strict=True):
+            if k:
+                x = np.frombuffer(b, _GET)  # a place once
+                for f in ("known", "base", "score"):
+                    d[f][x["r"]] += x[f].astype(d[f].dtype)
+        col = {f: np.ascontiguousarray(d[f]) for f in d.dtype.names}
         return pa.table({
-            "k": pa.array(np.ascontiguousarray(d["f1"]), pa.int64(), mask=d["f2"].astype(bool)), "held_out": pa.array(d["f3"].astype(bool)), "n_tokens": pa.array(np.ascontiguousarray(d["f4"])),
-            "n_known": pa.array(d["f5"] + known), "train_tokens": pa.array(np.full(len(d), total, np.int64)), "base_score": pa.array(d["f6"] + gain), "score": pa.array(d["f7"] + gain),
+            "name": pa.array(col["name"].view(np.int64)), "k": pa.array(col["id"], pa.int64(), mask=col["null"].astype(bool)), "held_out": pa.array(col["held"].astype(bool)), "n_tokens": pa.array(col["n"]),
+            "n_known": pa.array(col["known"]), "base_score": pa.array(col["base"]), "score": pa.array(col["score"]),
         })
 
-    out = scanned.where("kind = 0").union(answered).groupBy("part").applyInArrow(finish, "k long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    table = table.select(F.pmod(F.shiftrightunsigned("id", 33), F.lit(parts)).cast("int").alias("part"), "id", "base", "gain")
+    answered = rows.mapInArrow(send, SENT).groupBy("part").cogroup(table.groupBy("part")).applyInArrow(answer, "unit long, kind int, payload binary")
+    return answered.groupBy("unit").applyInArrow(finish, SCORED)
+
+
+def score(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float = LEAST) -> DataFrame:
+    """key, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    spark = docs.sparkSession
+    parts = 2 * kit.partitions(docs)
+    rows = kit.split_rows(docs).select(F.col(key).cast("long").alias("i"), F.col(text).cast("string").alias("t"))
+    total, distinct, words, pairs, triples, paths = grow(rows, parts)
+    unknown = -float(np.log10(total + distinct + 1.0))
+    floor = max(FLOOR, least * total)
+    send = spark.sparkContext.broadcast
+    common = send([Known(words, floor), Known(pairs, RUNS * floor), Known(triples, RUNS * floor)])
+    may_pair, may_triple = (send(kit.build_filter(x, "id", x.count())) for x in (pairs, triples))
+
+    def asked(known: Known, some: kit.Filter, ids: np.ndarray, row: np.ndarray, n: int):
+        place = known.places(ids)
+        left = np.flatnonzero(place < 0)
+        left = left[some.may_hold(ids[left])]
+        return known.sums("gain", place, row, n), (ids[left], row[left])
+
+    def short(h: np.ndarray, row: np.ndarray, n: int):
+        word, pair, _ = common.value
+        place = word.places(h)
+        rare = place < 0
+        ids, _, _, of = longer(h, row)
+        more, runs = asked(pair, may_pair.value, ids, of, n)
+        return np.bincount(row[~rare], minlength=n), word.sums("base", place, row, n), word.sums("gain", place, row, n) + more, (h[rare], row[rare]), runs
+
+    def long(h: np.ndarray, row: np.ndarray, n: int):
+        ids, _, _, of = longer(h, row)
+        ids, _, _, of = longer(ids, of)
+        more, runs = asked(common.value[2], may_triple.value, ids, of, n)
+        return np.zeros(n), np.zeros(n), more, (h[:0], row[:0]), runs
+
+    none = F.lit(0.0).alias("base")
+    first, first_path = kit.keep(gather(rows, parts, short, words.select("id", "base", "gain").union(pairs.select("id", none, "gain")), unknown), "scores")
+    second, second_path = kit.keep(gather(rows, parts, long, triples.select("id", none, "gain"), unknown).dropDuplicates(["name"]).select("name", F.col("score").alias("more")), "scores")
+    out = first.join(second, "name").select("k", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", (F.col("score") + F.col("more")).alias("score"))
     out, _ = kit.keep(out, "scores")
-    kit.remove(spark, scanned_path)
+    for path in (*paths, first_path, second_path):
+        kit.remove(spark, path)
     return out.withColumnRenamed("k", key)

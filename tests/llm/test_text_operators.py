@@ -159,6 +159,17 @@ def test_suffix_tree_score(spark):
         assert r.score == pytest.approx(sum(math.log10(chance(t, i)) for i in range(len(t))))
 
 
+def test_suffix_tree_lists_all_that_training_has_twice(spark):
+    """What is frequent enough to be broadcast changes no score."""
+    rnd = random.Random(3)
+    vocab = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rnd.choice(vocab[: rnd.choice((3, 10, 60))]) for _ in range(rnd.randint(0, 50))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = {r.doc_id: r for r in suffix_tree.score(df).collect()}
+    for r in suffix_tree.score(df, least=0.05).collect():
+        assert r.score == pytest.approx(want[r.doc_id].score) and r.base_score == pytest.approx(want[r.doc_id].base_score) and r.n_known == want[r.doc_id].n_known
+
+
 @pytest.mark.parametrize(("tile", "links"), [(1024, True), (7, True), (7, False)])
 def test_many_items_under_a_key(spark, monkeypatch, tile, links):
     """Items that the first one isn't linked to meet in tiles."""
