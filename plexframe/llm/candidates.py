@@ -5,6 +5,10 @@ More are each paired with the first of them, which joins large groups of copies
 pairs. Then, of keys whose items are still in several components, the items meet in tasks, in tiles of
 `TILE` by `TILE` items, and all pairs between different components are looked at there; only what passes
 an exact bound, or is a link, is written. So no link between two items is lost, and components are exact.
+
+Pairs that pass a bound but are no links may be as many as the square of a group. If links can't be told in the
+task, its last look hence writes a forest of what passes, which has the same components, and the items of each of these
+families meet once more, with their whole bodies, in smaller tiles; a forest of their links is written.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from plexframe.llm.components import components, merged
 ALL_PAIRS = 4
 #: Items on a side of a tile.
 TILE = 1024
+#: The same where whole bodies meet.
+FAMILY_TILE = 256
 #: Entries that pair_up() takes, if it isn't told other types: key within the part, item, size.
 ENTRY = ["u4", "u8", "u4"]
 #: A size of one byte counts powers of this.
@@ -104,10 +110,10 @@ def _still_apart(hot: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
     return named.join(one, F.col("key") == F.col("k")).select("key", "id", "n", "root", "m"), path
 
 
-def _meet(still: DataFrame, bodies: DataFrame, look: Look, then: Then | None) -> DataFrame:
+def _meet(still: DataFrame, bodies: DataFrame, look: Look, then: Then | None, tile: int = 0) -> DataFrame:
     """Pairs (a, b) that look() hands on, or those of them that then() makes of (a, b, t_a, t_b); bodies: (id, body) of all items."""
     body = bodies.select(F.col("id").alias("l"), F.col("body").cast("binary").alias("body"))
-    chunks = F.ceil(F.col("m") / F.lit(TILE)).cast("int")
+    chunks = F.ceil(F.col("m") / F.lit(tile or TILE)).cast("int")
     rows = still.withColumn("c", chunks).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("c")).cast("int"))
     rows = rows.join(body, F.col("id") == F.col("l")).withColumn("t", F.explode(F.sequence(F.lit(0), F.col("c") - 1)))
     rows = rows.select("key", F.least("chunk", "t").alias("i"), F.greatest("chunk", "t").alias("j"), "chunk", "id", "n", "root", "body")
@@ -130,11 +136,12 @@ def _meet(still: DataFrame, bodies: DataFrame, look: Look, then: Then | None) ->
     return kit.by_group(rows, ["key", "i", "j"], run, "a long, b long", then)
 
 
-def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: Callable[[DataFrame], DataFrame], rounds: list[tuple[Look, Then | None]]) -> DataFrame:
+def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: Callable[[DataFrame], DataFrame], rounds: list[tuple[Look, Then | None]], last: tuple[Look, Callable[[DataFrame], DataFrame], Look] | None = None) -> DataFrame:
     """(id, root) of all items that pair_up()'s rows link to another.
 
     verify(pairs) gives the links among pairs (a, b), bodies(ids) a table (id, body) of items; rounds has looks at what is
-    still apart, each with what makes links of its pairs in the task, or with None if verify() does."""
+    still apart, each with what makes links of its pairs in the task, or with None if verify() does. last, if given: a look that
+    hands on a forest() of all pairs that may be links, the whole bodies of ids, and a look that hands on a forest of links."""
     spark = found.sparkSession
     pairs, pairs_path = kit.keep(found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     labels = components(verify(pairs))
@@ -155,11 +162,55 @@ def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: C
         seen = seen if then else seen.union(more)
         if not more.isEmpty():
             labels = merged(labels, more if then else verify(more))
+    else:
+        if last and not hot.isEmpty():
+            still, path = _still_apart(hot, labels)
+            still, still_path = kit.keep(still, "apart")
+            kit.remove(spark, path)
+            paths.append(still_path)
+            if not still.isEmpty():
+                labels = _families(still, body or bodies(still.select("id")), labels, *last)
     for path in paths:
         kit.remove(spark, path)
     return labels
 
 
+def _families(still: DataFrame, body: DataFrame, labels: DataFrame, may: Look, whole: Callable[[DataFrame], DataFrame], links: Look) -> DataFrame:
+    """labels with all links between items that are still apart."""
+    spark = still.sparkSession
+    pairs, path = kit.keep(_meet(still, body, may, None).distinct(), "may")
+    if not pairs.isEmpty():
+        family, family_path = kit.keep(components(pairs).select(F.col("id").alias("l"), F.col("root").alias("key")), "families")
+        size = family.groupBy("key").agg(F.count("*").alias("m"))
+        named = still.select("id", "n", "root").distinct().join(family, F.col("id") == F.col("l")).join(size, "key").select("key", "id", "n", "root", "m")
+        more, more_path = kit.keep(_meet(named, whole(family.select(F.col("l").alias("id"))), links, None, FAMILY_TILE).distinct(), "more")
+        if not more.isEmpty():
+            labels = merged(labels, more)
+        kit.remove(spark, family_path), kit.remove(spark, more_path)
+    kit.remove(spark, path)
+    return labels
+
+
+def forest(a: np.ndarray, b: np.ndarray, group: np.ndarray, linked: Callable[[int, int], bool] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Of pairs (a, b) of items, as many as join what they join; group: items with the same number are joined already.
+
+    linked, if given, says of a pair whether it counts; it is asked only where the answer changes what is joined."""
+    up = list(range(int(group.max()) + 1 if len(group) else 0))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    kept = []
+    for k, (x, y) in enumerate(zip(group[a].tolist(), group[b].tolist(), strict=True)):
+        x, y = top(x), top(y)
+        if x != y and (linked is None or linked(int(a[k]), int(b[k]))):
+            up[x] = y
+            kept.append(k)
+    return a[kept], b[kept]
+
+
 def apart(n: np.ndarray, root: np.ndarray, chunk: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
     """(a, places b) of pairs in a tile of near enough size and different components; items are given by ascending n."""
     two = len(chunk) > 0 and chunk.min() != chunk.max()

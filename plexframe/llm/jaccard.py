@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
-from plexframe.llm.candidates import PAIRED, apart, entries, groups, nearest, pair_up
+from plexframe.llm.candidates import PAIRED, apart, entries, forest, groups, nearest, pair_up
 
 WORDS = 5
 #: Similarity as a whole percentage.
@@ -44,7 +44,7 @@ FREQUENT = 8
 CLASS_SIZE = 1 << 17
 #: Tokens of one task that its lossy count holds before it forgets those seen once.
 LOSSY = 4_000_000
-#: Nearest pairs of each component under a key that are verified, in each of `ROUNDS` rounds, before all that pass are.
+#: Nearest pairs of each component under a key that are verified, in each of `ROUNDS` rounds, before all others meet.
 FIRST, ROUNDS = 2, 2
 
 
@@ -302,6 +302,27 @@ def look(percent: int, first: int | None):
     return run
 
 
+def may(percent: int):
+    """For candidates.groups(): a forest of the pairs that the sketches let pass."""
+
+    def run(n: np.ndarray, root: np.ndarray, chunk: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return forest(*look(percent, None)(n, root, chunk, bodies), np.arange(len(n)))
+
+    return run
+
+
+def link(percent: int):
+    """For candidates.groups(): a forest of the pairs whose whole sets are similar enough."""
+
+    def run(n: np.ndarray, root: np.ndarray, chunk: np.ndarray, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        own = [np.frombuffer(x, np.uint64) for x in bodies]
+        drawn = sketches(np.concatenate(own), np.concatenate([[0], np.cumsum([len(x) for x in own])]), list(range(len(own))))
+        joined = np.unique(root, return_inverse=True)[1]
+        return forest(*look(percent, None)(n, root, chunk, drawn), joined, lambda i, j: similar(own[i], own[j], percent))
+
+    return run
+
+
 def screen(pairs: DataFrame, drawn: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that the sketches let pass; drawn: (id, n, sketch)."""
 
@@ -373,7 +394,10 @@ def similar_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", wor
     def drawn_of(ids: DataFrame) -> DataFrame:
         return chosen(ids)[0].select("id", F.col("sketch").alias("body"))
 
-    labels = groups(found, checked, drawn_of, [*[(look(percent, FIRST), None)] * ROUNDS, (look(percent, None), None)])
+    def sets_and_ids(ids: DataFrame) -> DataFrame:
+        return sets_of(ids, docs, key, text, words)[0].select("id", F.col("tokens").alias("body"))
+
+    labels = groups(found, checked, drawn_of, [(look(percent, FIRST), None)] * ROUNDS, (may(percent), sets_and_ids, link(percent)))
     kit.remove(spark, found_path)
 
     rows = seen.where("set is not null").select("id", "n", "set")

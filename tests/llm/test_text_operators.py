@@ -218,6 +218,28 @@ def test_jaccard_groups_with_a_hot_group_equal_brute_force(spark):
     assert {r.doc_id: r.component_id for r in jaccard.similar_groups(df).collect()} == want
 
 
+def test_pairs_that_are_no_links_are_not_written_by_the_square(spark, monkeypatch):
+    """80 texts with one passage, each pair just below the limit: nearly all pass the sketches, none is a link; 30 more are linked in a row."""
+    rnd = random.Random(9)
+    words = lambda n: [f"x{rnd.random()}" for _ in range(n)]
+    passage, rows, meet = words(100), [], candidates._meet
+    texts = [passage + words(13) for _ in range(80)]
+    for _ in range(30):
+        texts.append(texts[-1][:-1] + words(1))
+
+    def counted(*given):
+        out = meet(*given)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(candidates, "_meet", counted)
+    monkeypatch.setattr(candidates, "FAMILY_TILE", 16)
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in jaccard.similar_groups(df).collect()}
+    assert got == {i: min(i, 79) for i in range(110)}
+    assert max(rows) <= 4 * len(texts)
+
+
 def test_sketches_never_lose_a_similar_pair():
     rng = np.random.default_rng(6)
     for _ in range(400):
