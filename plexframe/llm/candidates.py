@@ -110,6 +110,12 @@ def _still_apart(hot: DataFrame, labels: DataFrame) -> tuple[DataFrame, str]:
     return named.join(one, F.col("key") == F.col("k")).select("key", "id", "n", "root", "m"), path
 
 
+def _largest(still: DataFrame) -> DataFrame:
+    """Of what is still apart, the keys that are the largest of some component: what meets under one of a group's keys needn't meet under all."""
+    keys = still.groupBy("root").agg(F.max(F.struct("m", "key")).alias("x")).select(F.col("x.key").alias("k")).distinct()
+    return still.join(keys, F.col("key") == F.col("k"), "left_semi")
+
+
 def _meet(still: DataFrame, bodies: DataFrame, look: Look, then: Then | None, tile: int = 0) -> DataFrame:
     """Pairs (a, b) that look() hands on, or those of them that then() makes of (a, b, t_a, t_b); bodies: (id, body) of all items."""
     body = bodies.select(F.col("id").alias("l"), F.col("body").cast("binary").alias("body"))
@@ -140,14 +146,14 @@ def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: C
     """(id, root) of all items that pair_up()'s rows link to another.
 
     verify(pairs) gives the links among pairs (a, b), bodies(ids) a table (id, body) of items; rounds has looks at what is
-    still apart, each with what makes links of its pairs in the task, or with None if verify() does. last, if given: a look that
+    still apart, under the largest key of each component or, in one after which nothing comes, under all keys, each with what makes links of its pairs in the task, or with None if verify() does. last, if given: a look that
     hands on a forest() of all pairs that may be links, the whole bodies of ids, and a look that hands on a forest of links."""
     spark = found.sparkSession
     pairs, pairs_path = kit.keep(found.where("kind = 0").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     labels = components(verify(pairs))
     hot = found.where("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("id"), "n")
     seen, paths, body = pairs, [pairs_path], None
-    for look, then in () if hot.isEmpty() else rounds:
+    for k, (look, then) in enumerate(() if hot.isEmpty() else rounds):
         still, path = _still_apart(hot, labels)
         still, still_path = kit.keep(still, "apart")
         kit.remove(spark, path)
@@ -155,7 +161,7 @@ def groups(found: DataFrame, verify: Callable[[DataFrame], DataFrame], bodies: C
             kit.remove(spark, still_path)
             break
         body = body or bodies(still.select("id"))
-        more = _meet(still, body, look, then).distinct()
+        more = _meet(_largest(still) if last or k < len(rounds) - 1 else still, body, look, then).distinct()
         more, path = kit.keep(more if then else more.join(seen, ["a", "b"], "left_anti"), "more")
         kit.remove(spark, still_path)
         paths.append(path)

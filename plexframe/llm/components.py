@@ -4,23 +4,51 @@ In each round every node looks at its neighbours' numbers and points to the leas
 between what their ends point to, and links from a node to itself are dropped. With numbers that are
 hashes, a round leaves a fraction of the nodes, so rounds grow with the logarithm of the input. A node
 with very many links is no hot spot: minima are taken before the shuffle, and the joins that redraw
-links have plain exchanges on the side of the links, which Spark splits when they are skewed.
+links have plain exchanges on the side of the links, which Spark splits when they are skewed. When no more
+than `SMALL` links are left, the driver joins them at once, whatever the input's size was.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plexframe.llm import kit
 
+#: Links that the driver joins itself: 1 MB.
+SMALL = 1 << 16
+
+
+def _joined(edges: DataFrame) -> DataFrame:
+    """components() of a few links."""
+    links = edges.toArrow()
+    ids, at = np.unique(np.concatenate([links["a"].to_numpy(), links["b"].to_numpy()]), return_inverse=True)
+    up = list(range(len(ids)))
+
+    def top(x: int) -> int:
+        while up[x] != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for x, y in at.reshape(2, -1).T.tolist():
+        x, y = top(x), top(y)
+        up[max(x, y)] = min(x, y)
+    roots = ids[[top(x) for x in range(len(ids))]] if len(ids) else ids
+    return edges.sparkSession.createDataFrame(pa.table({"id": pa.array(ids, pa.int64()), "root": pa.array(roots, pa.int64())}))
+
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root) of every id that stands in links(a, b); root is the same for all of a component and one of its ids."""
     spark = links.sparkSession
     edges, old = kit.keep(links.where("a <> b").select("a", "b").distinct(), "links")
+    if edges.count() <= SMALL:
+        labels = _joined(edges)
+        kit.remove(spark, old)
+        return labels
     labels, old_labels = kit.keep(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().withColumn("root", F.col("id")), "labels")
-    while not edges.isEmpty():
+    while edges.count() > SMALL:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         hop = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
         hop, old_hop = kit.keep(hop, "hop")
@@ -31,7 +59,10 @@ def components(links: DataFrame) -> DataFrame:
         for path in (old, old_labels, old_hop):
             kit.remove(spark, path)
         old, old_labels = new, new_labels
-    return labels
+    rest = _joined(edges).select(F.col("id").alias("n"), F.col("root").alias("m"))
+    out, _ = kit.keep(labels.join(F.broadcast(rest), F.col("root") == F.col("n"), "left").select("id", F.coalesce("m", "root").alias("root")), "labels")
+    kit.remove(spark, old), kit.remove(spark, old_labels)
+    return out
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:

@@ -15,9 +15,9 @@ over all documents finds in `FREQUENT` different sets or more, the `CLASS_SIZE`
 
 Equal sets are one node, however many documents have them. Sets that share a key are candidates: all pairs
 for a few sets, and for more, each with the first; whatever those leave apart meets in tiles of a key's sets
-(see candidates.py). Candidates pass by parity sketches first: a set's tokens are hashed to twice as many bits,
-each bit the parity of its tokens, so two sketches never differ in more bits than their sets in tokens. What
-the sketches leave is verified on whole sets, which a further scan fetches through a filter of bounded size.
+(see candidates.py). Candidates pass by parity sketches first: a set's tokens are hashed to eight times as many bits or more,
+each bit the parity of its tokens, so two sketches never differ in more bits than their sets in tokens, and seldom in
+many fewer. What the sketches leave is verified on whole sets, which a further scan fetches through a filter of bounded size.
 
 Defined results: a null or empty text, or one without words, has no tokens and is linked with nothing; a
 text of fewer than five words has the whole sequence as its one token; repeated rows are linked with each
@@ -45,7 +45,9 @@ CLASS_SIZE = 1 << 17
 #: Tokens of one task that its lossy count holds before it forgets those seen once.
 LOSSY = 4_000_000
 #: Nearest pairs of each component under a key that are verified, in each of `ROUNDS` rounds, before all others meet.
-FIRST, ROUNDS = 2, 2
+FIRST, ROUNDS = 2, 1
+#: Bits of a sketch for each token at least.
+DRAWN = 8
 
 
 # ---------------------------------------------------------------- sets
@@ -83,11 +85,11 @@ def set_ids(token: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def sketches(token: np.ndarray, off: np.ndarray, rows: list[int]) -> list[bytes]:
-    """Parity sketches of some sets: the power of two of 64-bit words that has two bits for each token or more."""
+    """Parity sketches of some sets: the power of two of 64-bit words that has `DRAWN` bits for each token or more."""
     out = []
     for r in rows:
         h = kit.mix(token[off[r] : off[r + 1]] ^ np.uint64(0x2545F4914F6CDD1D))
-        bits = 64 << max(0, (2 * len(h) - 1).bit_length() - 6)
+        bits = 64 << max(0, (DRAWN * len(h) - 1).bit_length() - 6)
         count = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
         out.append(np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes())
     return out

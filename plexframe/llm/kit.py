@@ -412,6 +412,7 @@ def build_filter(ids: DataFrame, name: str, count: int) -> Filter:
 
     bits = np.zeros(size // 8, np.uint8)
     found = block_reduce(ids.select(F.col(name).cast("long")).mapInArrow(run, BLOCK), unite, BLOCK)
-    for row in found.toLocalIterator():
-        bits[row.part * (_CHUNK_BITS // 8) : (row.part + 1) * (_CHUNK_BITS // 8)] = np.frombuffer(row.payload, np.uint8)
+    found = found.toArrow()  # 16 MB at most; an iterator would run a job for each partition
+    for part, payload in zip(found["part"].to_pylist(), found["payload"].to_pylist(), strict=True):
+        bits[part * (_CHUNK_BITS // 8) : (part + 1) * (_CHUNK_BITS // 8)] = np.frombuffer(payload, np.uint8)
     return Filter(bits)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyspark.sql.functions
 import pytest
 
-from plexframe.llm import candidates, counting, jaccard, kit, lines, mixing, packing, pages, quality, search, shards, suffix_tree
+from plexframe.llm import candidates, components, counting, jaccard, kit, lines, mixing, packing, pages, quality, search, shards, suffix_tree
 from plexframe.llm.encode import Encoder
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -240,6 +240,35 @@ def test_pairs_that_are_no_links_are_not_written_by_the_square(spark, monkeypatc
     assert max(rows) <= 4 * len(texts)
 
 
+def test_a_component_meets_others_under_one_key_first(spark, monkeypatch):
+    """40 items under 24 keys that lack an item each: a round doesn't write their pairs once for each key, the last look leaves no key out."""
+    met = []
+
+    def meet(still, *_):
+        met.append({r.key for r in still.select("key").distinct().collect()})
+        return spark.createDataFrame([], "a long, b long")
+
+    monkeypatch.setattr(candidates, "_meet", meet)
+    found = spark.createDataFrame([(1, key, i, 10) for key in range(24) for i in range(40) if i != key], candidates.PAIRED)
+    bodies = lambda _: spark.createDataFrame([], "id long, body string")
+    candidates.groups(found, lambda p: p.select("a", "b"), bodies, [(None, None)], (None, None, None))
+    assert met == [{22, 23}, set(range(24))]
+
+
+@pytest.mark.parametrize("small", [0, 7, 1 << 16])
+def test_components_are_the_same_wherever_they_are_joined(spark, monkeypatch, small):
+    monkeypatch.setattr(components, "SMALL", small)
+    rnd = random.Random(3)
+    links = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(130)]
+    root = {x: x for pair in links for x in pair if pair[0] != pair[1]}
+    for a, b in links:
+        if a != b:
+            root = {x: root[b] if r == root[a] else r for x, r in root.items()}
+    got = {r.id: r.root for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    sets = lambda of: {frozenset(x for x in of if of[x] == r) for r in of.values()}
+    assert got.keys() == root.keys() and sets(got) == sets(root) and all(r in got for r in got.values())
+
+
 def test_sketches_never_lose_a_similar_pair():
     rng = np.random.default_rng(6)
     for _ in range(400):
