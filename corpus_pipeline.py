@@ -22,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops repeated lines, keeping one occurrence of each group of like lines; a document of whose words nothing stays
     repeats others whole and is dropped. Rows equal in id and text are one document."""
-    return lines.dedup_rows(docs)
+    return lines.dedup_rows(docs, waves=2)  # disk is scarcer here than time
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

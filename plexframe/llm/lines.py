@@ -394,8 +394,8 @@ def settle(table: pa.Table, parts: int) -> pa.Table:
     return pa.table({"kind": pa.array(kind, pa.int32()), "part": pa.array(part, pa.int32()), "payload": pa.array(body, pa.binary())})
 
 
-def keyed(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
-    """Blocks of entries (key, line, characters), of each line once for a slice."""
+def keyed(rows: DataFrame, parts: int, min_words: int, wave: int = 0, waves: int = 1) -> DataFrame:
+    """Blocks of entries (key, line, characters), of each line once for a slice; of all keys those of one wave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -404,6 +404,9 @@ def keyed(rows: DataFrame, parts: int, min_words: int) -> DataFrame:
                 x = Lines(data, off, i, j, min_words)
                 h, first = np.unique(x.hash, return_index=True)
                 key, place = x.keys(first)
+                if waves > 1:
+                    own = kit.mix(key) % np.uint64(waves) == wave
+                    key, place = key[own], place[own]
                 size = np.minimum(np.rint(np.log(x.chars[first]) / np.log(STEP)), 255)
                 yield entries(key, h[place], size[place], parts, ENTRY)
 
@@ -537,16 +540,23 @@ def _runs(text: str) -> np.ndarray:
     return h >> np.uint32(32 - _RUN_BITS)
 
 
-def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
-    """(document, lines): the numbers of the lines that go, for each document_key() that has any."""
+def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, waves: int = 1) -> DataFrame:
+    """(document, lines): the numbers of the lines that go, for each document_key() that has any.
+
+    waves: parts in which the keys are shuffled, one after the other; two take half the disk and another scan."""
     spark = docs.sparkSession
     parts = 2 * kit.partitions(docs)
     rows = kit.split_rows(docs).select(document_key(key, text).alias("d"), F.col(key).cast("long").alias("i"), F.col(text).cast("string").alias("t"))
     seen, seen_path = kit.keep(scan(rows, parts, min_words), "seen")
     settled = seen.where("kind = 0").groupBy("part").applyInArrow(lambda t: settle(t, parts), "kind int, part int, payload binary")
     settled, settled_path = kit.keep(settled, "settled")
-    found = kit.block_reduce(keyed(rows, parts, min_words), lambda t: pair_up(t, int(percent / STEP), ENTRY), PAIRED)
-    found, found_path = kit.keep(found, "candidates")
+    found, found_paths = None, []
+    for wave in range(waves):
+        some, path = kit.keep(kit.block_reduce(keyed(rows, parts, min_words, wave, waves), lambda t: pair_up(t, int(percent / STEP), ENTRY), PAIRED), "candidates")
+        # keys of a part are told apart by lower bits that those of another wave may have too
+        some = some.withColumn("a", F.when(F.col("kind") == 1, F.col("a") + F.lit(wave << 56)).otherwise(F.col("a")))
+        found = found.union(some) if found_paths else some
+        found_paths.append(path)
     # all rounds of groups() look at these lines only
     ids = found.select(F.explode(F.when(F.col("kind") == 0, F.array("a", "b")).otherwise(F.array("b"))).alias("id"))
     texts, texts_path = lines_of(ids, rows, min_words)

@@ -488,6 +488,21 @@ def test_repeated_rows_keep_their_lines(spark):
     assert got == [(1, f"{a}\n{b}"), (1, f"{a}\n{b}"), (2, "words that only the second document has")]
 
 
+def test_keys_in_two_waves_take_half_the_disk_and_find_the_same(spark):
+    rnd = random.Random(4)
+    vocab = [f"w{i}" for i in range(500)]
+    texts = []
+    for i in range(60):
+        own = [[rnd.choice(vocab) for _ in range(rnd.randint(3, 40))] for _ in range(3)]
+        texts += ["\n".join(map(" ".join, own)), "\n".join(" ".join([*x[:-1], rnd.choice(vocab)]) for x in own)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    one, two = ({r.document: sorted(r.lines) for r in lines.repeats(df, waves=w).collect()} for w in (1, 2))
+    assert one and one == two
+    rows = kit.split_rows(df).selectExpr("doc_id", "doc_id", "text")
+    size = lambda *wave: lines.keyed(rows, 4, 1, *wave).selectExpr("sum(length(payload))").first()[0]
+    assert size(0, 2) + size(1, 2) == size() and max(size(0, 2), size(1, 2)) < 0.55 * size()
+
+
 def test_short_lines_and_lines_without_spaces_are_deduplicated(spark):
     long_ = "日本語の文章には空白がないのでこの行は一つの語になる"
     df = spark.createDataFrame([(1, f"All rights reserved.\n{long_}\n\nyes"), (2, f"all rights reserved\n{long_}\n\nown words of two"), (3, "\n---\n"), (4, "\n---\n")], "doc_id long, text string")
