@@ -230,6 +230,27 @@ def apart(n: np.ndarray, root: np.ndarray, chunk: np.ndarray, percent: int) -> I
             yield a, b
 
 
+def near(n: np.ndarray, root: np.ndarray, chunk: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of apart(), many items at a time."""
+    if not len(n):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    two = chunk.min() != chunk.max()
+    count = np.searchsorted(n, n * 100 // percent, "right") - np.arange(len(n)) - 1
+    ends, found = np.cumsum(count), []
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(ends, ends[i] - count[i] + (1 << 18), "right")))
+        a = np.repeat(np.arange(i, j), count[i:j])
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(count[i:j]) - count[i:j], count[i:j])
+        fine = root[a] != root[b]
+        if two:
+            fine &= chunk[a] != chunk[b]
+        found.append((a[fine], b[fine]))
+        i = j
+    a, b = zip(*found, strict=True)
+    return np.concatenate(a), np.concatenate(b)
+
+
 def nearest(a: np.ndarray, b: np.ndarray, far: np.ndarray, root: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray]:
     """Of pairs (a, b) the `first` nearest of each component."""
     own, pair = np.concatenate([root[a], root[b]]), np.tile(np.arange(len(a)), 2)

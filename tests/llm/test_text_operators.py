@@ -503,6 +503,15 @@ def test_keys_in_two_waves_take_half_the_disk_and_find_the_same(spark):
     assert size(0, 2) + size(1, 2) == size() and max(size(0, 2), size(1, 2)) < 0.55 * size()
 
 
+def test_all_pairs_of_a_tile_at_once():
+    rng = np.random.default_rng(1)
+    for _ in range(100):
+        m = int(rng.integers(0, 60))
+        n, root, chunk = np.sort(rng.integers(1, 60, m)), rng.integers(0, 5, m), rng.integers(0, 2, m)
+        a, b = candidates.near(n, root, chunk, 85)
+        assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == [(i, j) for i, others in candidates.apart(n, root, chunk, 85) for j in others.tolist()]
+
+
 def test_short_lines_and_lines_without_spaces_are_deduplicated(spark):
     long_ = "日本語の文章には空白がないのでこの行は一つの語になる"
     df = spark.createDataFrame([(1, f"All rights reserved.\n{long_}\n\nyes"), (2, f"all rights reserved\n{long_}\n\nown words of two"), (3, "\n---\n"), (4, "\n---\n")], "doc_id long, text string")
