@@ -371,9 +371,11 @@ def score(docs: DataFrame, key: str = "doc_id", text: str = "text", least: float
 
     none = F.lit(0.0).alias("base")
     first, first_path = kit.keep(gather(rows, parts, short, words.select("id", "base", "gain").union(pairs.select("id", none, "gain")), unknown), "scores")
+    for path in paths[:2]:  # words and pairs; the second look-up, which takes most disk, asks for triples only
+        kit.remove(spark, path)
     second, second_path = kit.keep(gather(rows, parts, long, triples.select("id", none, "gain"), unknown).dropDuplicates(["name"]).select("name", F.col("score").alias("more")), "scores")
     out = first.join(second, "name").select("k", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", (F.col("score") + F.col("more")).alias("score"))
     out, _ = kit.keep(out, "scores")
-    for path in (*paths, first_path, second_path):
+    for path in (paths[2], first_path, second_path):
         kit.remove(spark, path)
     return out.withColumnRenamed("k", key)

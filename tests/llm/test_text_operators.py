@@ -1,6 +1,7 @@
 """Text operators against brute force, with nulls, empty and repeated rows."""
 
 import math
+import os
 import random
 import re
 import zlib
@@ -159,6 +160,24 @@ def test_suffix_tree_score(spark):
         assert r.score == pytest.approx(sum(math.log10(chance(t, i)) for i in range(len(t))))
 
 
+def test_words_and_pairs_are_gone_when_triples_are_looked_up(spark, docs, monkeypatch):
+    paths, there, grow, gather = [], [], suffix_tree.grow, suffix_tree.gather
+
+    def grown(*given):
+        out = grow(*given)
+        paths.extend(out[-1])
+        return out
+
+    def gathered(*given):
+        there.append([os.path.exists(kit.share(p)) for p in paths])
+        return gather(*given)
+
+    monkeypatch.setattr(suffix_tree, "grow", grown)
+    monkeypatch.setattr(suffix_tree, "gather", gathered)
+    assert suffix_tree.score(docs).count() == docs.count()
+    assert there == [[True, True, True], [False, False, True]]
+
+
 def test_suffix_tree_lists_all_that_training_has_twice(spark):
     """What is frequent enough to be broadcast changes no score."""
     rnd = random.Random(3)
